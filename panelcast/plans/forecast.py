@@ -2,14 +2,63 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from panelcast.config import ForecastConfig, FIXTURE_CONFIG
 from panelcast.operators import panel as P
+from panelcast.operators import features as FE
 from panelcast.operators import baselines as BL
 from panelcast.operators import metrics as M
+from panelcast.operators import models as MD
+from panelcast.operators.recursive import recursive_forecast
 from panelcast.sources.tables import joined_sales
+from panelcast.sources.sinks import write_predictions
+from panelcast.session import cut_lineage
+
+
+@dataclass
+class ForecastResult:
+    panel: DataFrame
+    matrix: DataFrame
+    model: object
+    feature_cols: list
+    lgb: DataFrame
+    baseline: DataFrame
+    merged: DataFrame
+
+
+def run_forecast(data: DataFrame, cfg: ForecastConfig, output_path: str | None = None,
+                 check: bool = True) -> ForecastResult:
+    """Features -> trend feature -> datasets -> GBT -> recursive forecast
+    -> baselines -> blend -> optional write. `data` is the star-joined sales."""
+    cfg.validate()
+    data = P.prepare_data(data, cfg)
+    panel = P.build_panel(data, cfg).persist()
+    # The feature table is panel-sized and read by every later stage: write it
+    # to the checkpoint folder so later plans start from it, not from the scan.
+    matrix = cut_lineage(FE.build_feature_matrix(data, panel, cfg))
+    fb = BL.trend_forecast(panel, panel, cfg, cfg.train_start, cfg.train_end, out_col="fb_feature")
+    md = MD.create_datasets(matrix, cfg, fb)
+    model = MD.train_gbt(md, cfg)
+    lgb = recursive_forecast(model, md.predict, panel, md.feature_cols, cfg)
+    actual = md.predict.select("date", *cfg.keys, cfg.target)
+    lgb = lgb.join(actual, ["date", *cfg.keys], "left").select("date", *cfg.keys, cfg.target, "predicted")
+    if check:
+        P.assert_complete(lgb, cfg.horizon, "recursive predictions", cfg.keys)
+    base = BL.baseline_models(panel, cfg)
+    if check:
+        P.assert_complete(base, cfg.horizon, "baseline predictions", cfg.keys)
+    merged = MD.combine_results(lgb, base, cfg.keys)
+    if output_path:
+        write_predictions(merged, output_path)
+    return ForecastResult(panel, matrix, model, md.feature_cols, lgb, base, merged)
+
+
+def forecast_tables(spark: SparkSession, sf_dir: str, cfg: ForecastConfig = FIXTURE_CONFIG,
+                    output_path: str | None = None) -> ForecastResult:
+    return run_forecast(joined_sales(spark, sf_dir, cfg.train_start, cfg.prediction_end), cfg, output_path)
 
 
 def baseline_report(spark: SparkSession, sf_dir: str, cfg: ForecastConfig = FIXTURE_CONFIG) -> DataFrame:

@@ -226,3 +226,102 @@ sa AS (
     LEFT JOIN sa_ww ww ON {on('p', 'ww')} AND p.weekday_week = ww.weekday_week
     LEFT JOIN sa_wd wd ON {on('p', 'wd')} AND p.weekday = wd.weekday) p)
 """
+
+
+def folds_cte(first_end: str = "2001-02-01", last_end: str = "2001-07-01", train_start=None) -> str:
+    ts = d(train_start or C.train_start)
+    return f"""
+folds AS (
+  SELECT e AS prediction_period, {ts} AS train_start,
+         CAST(CAST(e - INTERVAL 2 MONTH AS DATE) + 1 - 1 AS DATE) AS train_end,
+         CAST(CAST(e - INTERVAL 2 MONTH AS DATE) + 1 AS DATE) AS test_start,
+         CAST(CAST(e - INTERVAL 1 MONTH AS DATE) + 1 - 1 AS DATE) AS test_end,
+         CAST(CAST(e - INTERVAL 1 MONTH AS DATE) + 1 AS DATE) AS prediction_start,
+         e AS prediction_end
+  FROM (SELECT CAST(last_day(CAST(m AS DATE)) AS DATE) AS e
+        FROM generate_series(TIMESTAMP '{first_end}', TIMESTAMP '{last_end}', INTERVAL 1 MONTH) t(m)) x)
+"""
+
+
+FK = "prediction_period, hierarchy1_id, storetype_id"
+
+
+def backtest_ctes() -> str:
+    """Fold panels and both baselines for every fold (O52 without GBT)."""
+    return folds_cte() + f""",
+fhist AS (SELECT f.prediction_period, s.date, s.hierarchy1_id, s.storetype_id, s.sales
+          FROM sums s JOIN folds f ON s.date BETWEEN f.train_start AND f.test_end),
+fgrp AS (SELECT DISTINCT f.prediction_period, s.hierarchy1_id, s.storetype_id, f.prediction_start, f.prediction_end
+         FROM sums s JOIN folds f ON s.date BETWEEN f.test_start AND f.test_end),
+fspine AS (SELECT prediction_period, hierarchy1_id, storetype_id,
+                  CAST(unnest(generate_series(CAST(prediction_start AS TIMESTAMP), CAST(prediction_end AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date
+           FROM fgrp),
+fact AS (SELECT sp.prediction_period, sp.date, sp.hierarchy1_id, sp.storetype_id, s.sales
+         FROM fspine sp LEFT JOIN sums s ON sp.date = s.date AND sp.hierarchy1_id = s.hierarchy1_id AND sp.storetype_id = s.storetype_id),
+fflag AS (SELECT prediction_period, COUNT(sales) > 0 AS has FROM fact GROUP BY prediction_period),
+fpred AS (SELECT a.prediction_period, a.date, a.hierarchy1_id, a.storetype_id,
+                 CASE WHEN g.has THEN COALESCE(a.sales, 0.0) ELSE a.sales END AS sales
+          FROM (SELECT *, MAX(sales) OVER (PARTITION BY {FK}) AS mx FROM fact) a
+          JOIN fflag g ON a.prediction_period = g.prediction_period
+          WHERE (NOT g.has) OR a.mx >= 0),
+fpanel AS (SELECT prediction_period, date, hierarchy1_id, storetype_id, {cal()}, sales
+           FROM (SELECT * FROM fhist UNION ALL SELECT * FROM fpred) u),
+fp AS (SELECT p.*, f.train_start, f.test_end, f.prediction_start, f.prediction_end
+       FROM fpanel p JOIN folds f ON p.prediction_period = f.prediction_period),
+fph AS (SELECT * FROM fp WHERE date BETWEEN train_start AND test_end),
+fpp AS (SELECT * FROM fp WHERE date BETWEEN prediction_start AND prediction_end),
+{seasonal_ctes("fph", "fpp", FK).strip().rstrip(",")},
+bt_h AS (SELECT *, CAST(datediff('day', train_start, date) AS DOUBLE) AS x FROM fph),
+bt_c AS (SELECT {FK}, regr_intercept(sales, x) AS a, regr_slope(sales, x) AS b FROM bt_h GROUP BY {FK}),
+bt_e AS (SELECT h.prediction_period, h.hierarchy1_id, h.storetype_id, CAST(isodow(h.date) - 1 AS INTEGER) AS wd,
+                AVG(h.sales - c.a - c.b * h.x) AS e
+         FROM bt_h h JOIN bt_c c ON h.prediction_period = c.prediction_period AND h.hierarchy1_id = c.hierarchy1_id
+              AND h.storetype_id = c.storetype_id GROUP BY ALL),
+bt_tr AS (SELECT p.prediction_period, p.date, p.hierarchy1_id, p.storetype_id,
+                 c.a + c.b * CAST(datediff('day', p.train_start, p.date) AS DOUBLE) + COALESCE(e.e, 0.0) AS v
+          FROM fpp p
+          LEFT JOIN bt_c c ON p.prediction_period = c.prediction_period AND p.hierarchy1_id = c.hierarchy1_id AND p.storetype_id = c.storetype_id
+          LEFT JOIN bt_e e ON p.prediction_period = e.prediction_period AND p.hierarchy1_id = e.hierarchy1_id
+               AND p.storetype_id = e.storetype_id AND CAST(isodow(p.date) - 1 AS INTEGER) = e.wd),
+res AS (SELECT p.date, p.hierarchy1_id, p.storetype_id, p.sales, sa.predicted_seasonal_average,
+               CASE WHEN t.v < 0 THEN 0.0 ELSE t.v END AS predicted_fbprophet, p.prediction_period
+        FROM fpp p
+        JOIN sa ON p.prediction_period = sa.prediction_period AND p.date = sa.date AND p.hierarchy1_id = sa.hierarchy1_id AND p.storetype_id = sa.storetype_id
+        JOIN bt_tr t ON p.prediction_period = t.prediction_period AND p.date = t.date AND p.hierarchy1_id = t.hierarchy1_id AND p.storetype_id = t.storetype_id)
+"""
+
+
+def narrow_stats_sql(columns) -> str:
+    """O02 statistics per column (columns: list of (name, is_float)) over `sales`."""
+    parts = []
+    for c, is_float in columns:
+        x = f"CAST({c} AS DOUBLE)"
+        xi = f"round(COALESCE({x}, 0.0))" if is_float else x
+        a = f"abs({x})"
+        e0 = f"floor(log2({a}))"
+        e = f"(CASE WHEN power(2.0, {e0}) > {a} THEN {e0} - 1 WHEN power(2.0, {e0} + 1) <= {a} THEN {e0} + 1 ELSE {e0} END)"
+        q = f"power(2.0, greatest({e}, -14) - 10)"
+        v16 = (f"(CASE WHEN {x} IS NULL THEN NULL WHEN {a} >= 65520 THEN sign({x}) * 'inf'::DOUBLE "
+               f"WHEN {a} = 0 THEN 0.0 ELSE sign({x}) * round_even({a} / {q}, 0) * {q} END)")
+        v32 = f"CAST(CAST({x} AS FLOAT) AS DOUBLE)"
+        isnull = f"CAST({c} IS NULL AS INTEGER)"
+        parts.append(f"""SELECT '{c}' AS column_name, COUNT(*) AS n_rows, SUM({isnull}) AS n_null,
+  COUNT(DISTINCT {x}) + MAX({isnull}) AS n_distinct, MIN({x}) AS min_value, MAX({x}) AS max_value,
+  MIN({xi}) AS int_min, MAX({xi}) AS int_max, MAX(abs({xi} - {x})) AS int_max_loss, AVG(abs({xi} - {x})) AS int_avg_loss,
+  COUNT(DISTINCT {xi}) AS int_distinct,
+  MAX(abs({v16} - {x})) AS f16_max_loss, AVG(abs({v16} - {x})) AS f16_avg_loss, COUNT(DISTINCT {v16}) + MAX({isnull}) AS f16_distinct,
+  MAX(abs({v32} - {x})) AS f32_max_loss, AVG(abs({v32} - {x})) AS f32_avg_loss, COUNT(DISTINCT {v32}) + MAX({isnull}) AS f32_distinct
+FROM sales""")
+    return "nstats AS (" + "\nUNION ALL\n".join(parts) + ")"
+
+
+def narrow_choice_sql() -> str:
+    def int_ok(lo, hi):
+        return (f"(n_null <= 0 AND int_min >= {lo} AND int_max <= {hi} AND int_max_loss <= 0.001 "
+                f"AND int_avg_loss <= 0.001 AND abs(n_distinct - int_distinct) <= 0)")
+
+    def f_ok(p):
+        return f"({p}_max_loss <= 0.001 AND {p}_avg_loss <= 0.001 AND abs(n_distinct - {p}_distinct) <= 0)"
+    return (f"CASE WHEN {int_ok(-128, 127)} THEN 'int8' WHEN {int_ok(-32768, 32767)} THEN 'int16' "
+            f"WHEN {f_ok('f16')} THEN 'float16' WHEN {int_ok(-2147483648, 2147483647)} THEN 'int32' "
+            f"WHEN {f_ok('f32')} THEN 'float32' END")

@@ -39,8 +39,11 @@ def rounded(df: DataFrame, cols) -> DataFrame:
     equal inputs give equal outputs (engine ROUND functions break ties
     differently). Applied only to results whose low bits depend on
     summation order or on the math library (regressions, sin/cos, logs)."""
-    ex = {c: (F.floor(F.col(f"`{c}`") * F.lit(SCALE) + F.lit(0.5)).cast("double") / F.lit(SCALE))
-          for c in cols}
+    def r(c):
+        x = F.col(f"`{c}`")
+        return F.when(F.isnan(x) | (F.abs(x) == float("inf")), x) \
+                .otherwise(F.floor(x * F.lit(SCALE) + F.lit(0.5)).cast("double") / F.lit(SCALE))
+    ex = {c: r(c) for c in cols}
     return df.withColumns(ex) if ex else df
 
 
@@ -54,7 +57,8 @@ def sql(ctes: str, select: str, doubles=()) -> str:
     rep = ""
     if doubles:
         rep = " REPLACE (" + ", ".join(
-            f"FLOOR({c} * {SCALE!r} + 0.5) / {SCALE!r} AS {c}" for c in doubles) + ")"
+            f"CASE WHEN isnan({c}) OR isinf({c}) THEN {c} ELSE FLOOR({c} * {SCALE!r} + 0.5) / {SCALE!r} END AS {c}"
+            for c in doubles) + ")"
     out = OracleSQL(f"WITH {ctes.strip().rstrip(',')},\nresult AS ({select})\nSELECT *{rep} FROM result")
     out.round_cols = tuple(c.strip('"') for c in doubles)
     return out
@@ -365,3 +369,246 @@ def q_concat_fc(spark, sf):
     fut = BL.trend_forecast(p, P.filter_date_range(p, C.test_start, C.prediction_end), C, C.train_start,
                             C.train_end, out_col="predicted").withColumn("part", F.lit("future"))
     return P.concat_frames(fit, fut)
+
+
+# ---------------------------------------------------------------- O02-O04
+from panelcast.sources import narrow as NR  # noqa: E402
+
+SALES_NUMERIC = [("product_id", False), ("store_id", False), ("sales", True), ("price", True)]
+NARROW_COLS = ["column_name", "n_rows", "n_null", "n_distinct", "min_value", "max_value", "int_max_loss",
+               "int_avg_loss", "f16_max_loss", "f16_avg_loss", "f32_max_loss", "f32_avg_loss", "chosen_type"]
+NARROW_DBL = ["min_value", "max_value", "int_max_loss", "int_avg_loss", "f16_max_loss", "f16_avg_loss",
+              "f32_max_loss", "f32_avg_loss"]
+
+
+@register("o02_narrow_schema", sql(B + "," + O.narrow_stats_sql(SALES_NUMERIC),
+                                   f"SELECT {', '.join(NARROW_COLS[:-1])}, {O.narrow_choice_sql()} AS chosen_type FROM nstats",
+                                   NARROW_DBL))
+def q_narrow(spark, sf):
+    """Loss statistics and the chosen narrow type per numeric column."""
+    st = NR.narrowing_stats(sales_df(spark, sf), [c for c, _ in SALES_NUMERIC])
+    return NR.choose_types(st).select(*NARROW_COLS)
+
+
+SALES_COLS = ["date", "product_id", "store_id", "sales", "price", "promo_type_1", "promo_bin_1", "promo_type_2",
+              "promo_bin_2", "promo_discount_2", "promo_discount_type_2"]
+
+
+@register("o03_column_profile", sql(B, "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, SUM(CAST({c} IS NULL AS BIGINT)) AS n_null, "
+    f"COUNT(DISTINCT {c}) + MAX(CAST({c} IS NULL AS BIGINT)) AS n_distinct FROM joined" for c in
+    SALES_COLS + ["hierarchy1_id", "cluster_id", "product_length", "storetype_id", "city_id", "store_size"])))
+def q_profile(spark, sf):
+    j = ctx(spark, sf).joined
+    return NR.column_profile(j.select(*SALES_COLS, "hierarchy1_id", "cluster_id", "product_length",
+                                      "storetype_id", "city_id", "store_size"))
+
+
+@register("o04_encode_category", sql(B, """SELECT 'hierarchy1_id' AS column_name, value,
+    CAST(DENSE_RANK() OVER (ORDER BY value) - 1 AS INTEGER) AS code
+    FROM (SELECT DISTINCT hierarchy1_id AS value FROM taxonomy WHERE hierarchy1_id IS NOT NULL)
+    UNION ALL SELECT 'city_id', value, CAST(DENSE_RANK() OVER (ORDER BY value) - 1 AS INTEGER)
+    FROM (SELECT DISTINCT city_id AS value FROM stores WHERE city_id IS NOT NULL)"""))
+def q_codes(spark, sf):
+    from panelcast.sources.tables import taxonomy_df, stores_df
+    return NR.category_codes(taxonomy_df(spark, sf), "hierarchy1_id") \
+        .unionByName(NR.category_codes(stores_df(spark, sf), "city_id"))
+
+
+# ---------------------------------------------------------------- O39 / O40 / O16
+from panelcast.operators import prep as PR  # noqa: E402
+
+
+@register("o39_sample_weights", sql(B, f"""SELECT date, {O.K}, COALESCE(
+    (CASE WHEN year < {C.weight_cutoff_year} THEN 0.25 ELSE 1.0 END)
+    + (CASE WHEN month IS NULL THEN NULL WHEN month >= {C.prediction_month - 1} THEN 0.25 ELSE 0.0 END), 1.0) AS weight
+    FROM panel WHERE {TRAIN_RANGE}"""))
+def q_weights(spark, sf):
+    p = P.filter_date_range(ctx(spark, sf).panel, C.train_start, C.train_end)
+    return p.select("date", *K, PR.sample_weight(C.weight_cutoff_year, C.prediction_month).alias("weight"))
+
+
+def _te_sql() -> str:
+    enc = []
+    for c in K:
+        enc.append(f"""
+lv_{c} AS (SELECT {c}, fold, SUM(sales) AS svf, COUNT(sales) AS nvf FROM folded GROUP BY {c}, fold),
+tv_{c} AS (SELECT {c}, SUM(svf) AS sv, SUM(nvf) AS nv FROM lv_{c} GROUP BY {c}),
+enc_{c} AS (SELECT t.{c}, p.fold,
+    CASE WHEN t.nv - COALESCE(l.nvf, 0) > 1
+         THEN (t.sv - COALESCE(l.svf, 0.0) + p.prior) / (t.nv - COALESCE(l.nvf, 0) + 1)
+         ELSE p.prior END AS e
+  FROM tv_{c} t CROSS JOIN pri p LEFT JOIN lv_{c} l ON l.{c} = t.{c} AND l.fold = p.fold),
+mean_{c} AS (SELECT {c}, AVG(e) AS e FROM enc_{c} GROUP BY {c})""")
+    return f"""
+tr AS (SELECT date, {O.K}, sales FROM panel WHERE {TRAIN_RANGE}),
+sizes AS (SELECT {O.K}, COUNT(*) AS n FROM tr GROUP BY {O.K}),
+offs AS (SELECT {O.K}, COALESCE(SUM(n) OVER (ORDER BY {O.K} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off FROM sizes),
+tot AS (SELECT SUM(n) AS total FROM sizes),
+pos AS (SELECT t.*, o.off + ROW_NUMBER() OVER (PARTITION BY t.hierarchy1_id, t.storetype_id ORDER BY t.date) - 1 AS pos
+        FROM tr t JOIN offs o ON t.hierarchy1_id = o.hierarchy1_id AND t.storetype_id = o.storetype_id),
+folded AS (SELECT p.*, CAST(CASE WHEN pos < (total % 3) * (total // 3 + 1) THEN pos // (total // 3 + 1)
+                 ELSE (total % 3) + (pos - (total % 3) * (total // 3 + 1)) // (total // 3) END AS INTEGER) AS fold
+           FROM pos p, tot),
+fstats AS (SELECT fold, SUM(sales) AS sf, COUNT(sales) AS nf FROM folded GROUP BY fold),
+allst AS (SELECT SUM(sf) AS sa, SUM(nf) AS na FROM fstats),
+pri AS (SELECT f.fold, (a.sa - f.sf) / (a.na - f.nf) AS prior FROM fstats f, allst a),
+mp AS (SELECT AVG(prior) AS mp FROM pri),""" + ",".join(enc)
+
+
+@register("o40_target_encode_oof", sql(B + "," + _te_sql(), f"""
+    SELECT 'train' AS split, f.date, f.hierarchy1_id, f.storetype_id, f.fold,
+           eh.e AS hierarchy1_id_tenc, es.e AS storetype_id_tenc
+    FROM folded f JOIN enc_hierarchy1_id eh ON f.hierarchy1_id = eh.hierarchy1_id AND f.fold = eh.fold
+                  JOIN enc_storetype_id es ON f.storetype_id = es.storetype_id AND f.fold = es.fold
+    UNION ALL
+    SELECT CASE WHEN p.date <= {O.d(C.test_end)} THEN 'test' ELSE 'predict' END, p.date, p.hierarchy1_id, p.storetype_id,
+           CAST(NULL AS INTEGER), COALESCE(mh.e, mp.mp), COALESCE(ms.e, mp.mp)
+    FROM panel p CROSS JOIN mp LEFT JOIN mean_hierarchy1_id mh ON p.hierarchy1_id = mh.hierarchy1_id
+         LEFT JOIN mean_storetype_id ms ON p.storetype_id = ms.storetype_id
+    WHERE p.date BETWEEN {O.d(C.test_start)} AND {O.d(C.prediction_end)}""",
+    ["hierarchy1_id_tenc", "storetype_id_tenc"]))
+def q_te(spark, sf):
+    p = ctx(spark, sf).panel
+    train = P.filter_date_range(p, C.train_start, C.train_end)
+    rest = P.filter_date_range(p, C.test_start, C.prediction_end)
+    tr, others, _ = PR.target_encode_oof(train, {"rest": rest}, K, "sales", 3, KEYS)
+    cols = ["hierarchy1_id_tenc", "storetype_id_tenc"]
+    a = tr.select(F.lit("train").alias("split"), "date", *K, "fold", *cols)
+    b = others["rest"].select(
+        F.when(F.col("date") <= F.lit(C.test_end).cast("date"), "test").otherwise("predict").alias("split"),
+        "date", *K, F.lit(None).cast("int").alias("fold"), *cols)
+    return a.unionByName(b)
+
+
+# ---------------------------------------------------------------- O51 / O18 / backtest
+BT = B + "," + O.backtest_ctes()
+FOLD_COLS = ["prediction_period", "train_start", "train_end", "test_start", "test_end", "prediction_start",
+             "prediction_end"]
+FIRST_END, LAST_END = dt.date(2001, 2, 28), dt.date(2001, 7, 31)
+
+
+def _folds(spark):
+    return BT_.backtest_folds(spark, FIRST_END, LAST_END, C.train_start)
+
+
+from panelcast.operators import backtest as BT_  # noqa: E402
+
+
+@register("o51_backtest_folds", sql(O.folds_cte(), f"SELECT {', '.join(FOLD_COLS)} FROM folds"))
+def q_folds(spark, sf):
+    return _folds(spark)
+
+
+@register("o18_validate_folds", sql(O.folds_cte(), f"""SELECT prediction_period,
+    COALESCE(prediction_end >= prediction_start AND prediction_start > test_end AND test_end >= test_start
+             AND test_start > train_end AND train_end >= train_start
+             AND datediff('day', test_end, prediction_start) >= 1, FALSE) AS valid FROM folds"""))
+def q_validate(spark, sf):
+    f = _folds(spark)
+    bad = BT_.validate_folds(f).select("prediction_period", F.lit(False).alias("valid"))
+    good = f.select("prediction_period").join(bad.select("prediction_period"), "prediction_period", "left_anti") \
+            .withColumn("valid", F.lit(True))
+    return good.unionByName(bad)
+
+
+def _bt_results(spark, sf):
+    c = ctx(spark, sf)
+    if not hasattr(c, "_bt"):
+        folds = _folds(spark)
+        sums = P.daily_sums(c.data, C.train_start, LAST_END)
+        panels = BT_.fold_panels(sums, folds)
+        c._bt = BT_.backtest_baselines(panels, folds).persist()
+    return c._bt
+
+
+RES_DBL = ["sales", "predicted_seasonal_average", "predicted_fbprophet"]
+
+
+@register("o52_backtest_baselines", sql(BT, "SELECT * FROM res", RES_DBL))
+def q_bt(spark, sf):
+    """O52 for the two baselines: all six folds in one job."""
+    return _bt_results(spark, sf)
+
+
+BT_MODELS = {"seasonal_average": "predicted_seasonal_average", "fbprophet": "predicted_fbprophet"}
+
+
+def _ape(col, divide_first=True):
+    return (f"abs((sales - {col}) / NULLIF(sales + 1, 0))" if divide_first
+            else f"abs({col} - sales) / NULLIF(sales + 1, 0)")
+
+
+@register("o53_mape", sql(BT, "SELECT prediction_period, " + ", ".join(
+    f"AVG({_ape(c)}) * 100 AS mape_{n}" for n, c in BT_MODELS.items()) + " FROM res GROUP BY prediction_period",
+    [f"mape_{n}" for n in BT_MODELS]))
+def q_mape(spark, sf):
+    r = _bt_results(spark, sf)
+    out = None
+    for n, c in BT_MODELS.items():
+        m = M.mape(r, "sales", c, by=["prediction_period"], alias=f"mape_{n}")
+        out = m if out is None else out.join(m, "prediction_period")
+    return out
+
+
+WEIGHTED = """wres AS (SELECT r.*, r.sales / NULLIF(t.tot + 1, 0) AS weight FROM res r
+    JOIN (SELECT date, SUM(sales) AS tot FROM res GROUP BY date) t ON r.date = t.date),
+fres AS (SELECT * FROM wres WHERE weight > 0.01)"""
+
+
+@register("o54_day_share_weight", sql(BT + "," + WEIGHTED, f"SELECT date, {O.K}, prediction_period, weight FROM fres",
+                                      ["weight"]))
+def q_weight(spark, sf):
+    r = M.day_share_weight(_bt_results(spark, sf))
+    return r.select("date", *K, "prediction_period", "weight")
+
+
+APE_COLS = [f"mape_{n}" for n in BT_MODELS] + [f"weighted_mape_{n}" for n in BT_MODELS]
+APE_SQL = ", ".join([f"100 * {_ape(c, False)} AS mape_{n}" for n, c in BT_MODELS.items()]
+                    + [f"weight * 100 * {_ape(c, False)} AS weighted_mape_{n}" for n, c in BT_MODELS.items()])
+
+
+def _scored(spark, sf):
+    r = M.day_share_weight(_bt_results(spark, sf))
+    return M.ape_columns(M.ape_columns(r, BT_MODELS), BT_MODELS, weighted=True)
+
+
+@register("o55_ape_columns", sql(BT + "," + WEIGHTED, f"SELECT date, {O.K}, prediction_period, {APE_SQL} FROM fres",
+                                 APE_COLS))
+def q_ape(spark, sf):
+    return _scored(spark, sf).select("date", *K, "prediction_period", *APE_COLS)
+
+
+SCORED = BT + "," + WEIGHTED + f", scored AS (SELECT *, {APE_SQL} FROM fres)"
+
+
+@register("o56_score_by_period", sql(SCORED, "SELECT prediction_period, " + ", ".join(
+    f"AVG({c}) AS {c}" for c in APE_COLS) + " FROM scored GROUP BY prediction_period", APE_COLS))
+def q_by_period(spark, sf):
+    return M.score_by(_scored(spark, sf), ["prediction_period"], APE_COLS)
+
+
+@register("o57_score_by_group", sql(SCORED, f"SELECT {O.K}, " + ", ".join(
+    f"round_even(AVG({c}) * 10, 0) / 10 AS {c}" for c in APE_COLS) + f" FROM scored GROUP BY {O.K}"))
+def q_by_group(spark, sf):
+    return M.score_by(_scored(spark, sf), K, APE_COLS, round_to=1)
+
+
+@register("o58_mape_by_group", sql(BT, f"SELECT {O.K}, " + ", ".join(
+    f"AVG({_ape(c)}) * 100 AS mape_{n}" for n, c in BT_MODELS.items()) + f" FROM res GROUP BY {O.K}",
+    [f"mape_{n}" for n in BT_MODELS]))
+def q_mape_group(spark, sf):
+    return M.mape_by_group(_bt_results(spark, sf), BT_MODELS)
+
+
+@register("o59_column_totals", sql(BT, "SELECT " + ", ".join(f"SUM({c}) AS total_{c}" for c in RES_DBL) + " FROM res",
+                                   [f"total_{c}" for c in RES_DBL]))
+def q_totals_cols(spark, sf):
+    return M.column_totals(_bt_results(spark, sf), RES_DBL)
+
+
+@register("o42_asymmetric_mse", sql(BT, f"""SELECT prediction_period, AVG(power(CASE WHEN predicted_seasonal_average < sales
+    THEN 1.1 ELSE 0.9 END * (predicted_seasonal_average - sales), 2)) AS asymmetric_mse FROM res GROUP BY prediction_period""",
+    ["asymmetric_mse"]))
+def q_amse(spark, sf):
+    return M.asymmetric_mse(_bt_results(spark, sf), "sales", "predicted_seasonal_average", by=["prediction_period"])

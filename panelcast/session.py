@@ -21,6 +21,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
           .config("spark.ui.enabled", "false")
           .config("spark.ui.showConsoleProgress", "false")
           .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
+    if master and master.startswith("local"):
+        # local mode: the driver JVM is the only executor
+        b = b.config("spark.driver.memory", os.environ.get("PANELCAST_DRIVER_MEMORY", "12g"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return b.getOrCreate()
@@ -46,3 +49,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
                                       dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def cut_lineage(df):
+    """Reliable checkpoint into the shared checkpoint folder (never a
+    local checkpoint: it would be lost with its executor)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
