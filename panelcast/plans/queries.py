@@ -612,3 +612,170 @@ def q_totals_cols(spark, sf):
     ["asymmetric_mse"]))
 def q_amse(spark, sf):
     return M.asymmetric_mse(_bt_results(spark, sf), "sales", "predicted_seasonal_average", by=["prediction_period"])
+
+
+# ---------------------------------------------------------------- O11 wide matrix
+CYC_COLS = [f"{c}_{f}" for c in ("weekday", "week", "month", "quarter") for f in ("sin", "cos")]
+
+
+# Value domains of the fixture mapping (TPC-H generator): the oracle pivots
+# with an explicit list, Spark discovers the same values from the data.
+SHARE_DOMAINS = {
+    "promo_type_1": ["A", "N", "R"], "promo_bin_1": ["F", "O"],
+    "promo_type_2": [str(i) for i in range(1, 8)], "promo_bin_2": ["high", "low", "mid"],
+    "promo_discount_2": [str(i) for i in range(0, 11)], "promo_discount_type_2": ["A", "B"],
+    "city_id": [f"NATION_{i}" for i in range(25)], "cluster_id": [f"Brand#{i}" for i in range(1, 26)],
+}
+CATW = ", ".join("COALESCE(MAX(CASE WHEN feature = '%s' AND value = '%s' THEN share END), 0.0) AS \"%s_%s\""
+                 % (f, v, v, f) for f, vals in SHARE_DOMAINS.items() for v in vals)
+
+
+@register("o11_assemble_features", sql(FEATS + "," + O.product_cte() + "," + O.share_cte() + f""",
+catf AS (SELECT year_month, {O.K}, {CATW} FROM shares GROUP BY year_month, {O.K})""",
+    f"""SELECT * FROM feats LEFT JOIN catf USING (year_month, {O.K}) LEFT JOIN prod USING (year_month, {O.K})""",
+    CYC_COLS))
+def q_matrix(spark, sf):
+    """The full feature matrix (panel features + previous-month shares
+    and product statistics)."""
+    return ctx(spark, sf).matrix
+
+
+# ---------------------------------------------------------------- O44 one step (compat)
+from panelcast.operators import recursive as RC  # noqa: E402
+
+STEP_DAY = C.prediction_start + dt.timedelta(days=1)
+STEP_COLS = ["date", *K, "total_sales_last_1_days", "total_sales_last_2_days", "total_sales_last_28_days",
+             "week_sales_to_date", "month_sales_to_date", "percentage_sold_of_month", "percentage_sold_of_week",
+             "weekday", "week", "month", "year", *CYC_COLS]
+STEP_DBL = ["total_sales_last_1_days", "total_sales_last_2_days", "total_sales_last_28_days", "week_sales_to_date",
+            "month_sales_to_date", "percentage_sold_of_month", "percentage_sold_of_week", *CYC_COLS]
+
+
+def _step_sql() -> str:
+    dd = O.d(STEP_DAY)
+    p = "(CASE WHEN exp(predicted) - 1 < 0 THEN 0.0 ELSE exp(predicted) - 1 END)"
+    cyc = []
+    for c, m in (("weekday", 7.0), ("week", 52.0), ("month", 12.0), ("quarter", 4.0)):
+        v = {"weekday": f"isodow({dd}) - 1", "week": f"weekofyear({dd})", "month": f"month({dd})",
+             "quarter": f"quarter({dd})"}[c]
+        cyc.append(f"sin(2.0 * pi() * CAST({v} AS DOUBLE) / {m}) AS {c}_sin, "
+                   f"cos(2.0 * pi() * CAST({v} AS DOUBLE) / {m}) AS {c}_cos")
+    return f"""SELECT {dd} AS date, {O.K}, {p} AS total_sales_last_1_days,
+      total_sales_last_2_days - {p} + {p} AS total_sales_last_2_days,
+      total_sales_last_28_days - {p} + {p} AS total_sales_last_28_days,
+      CASE WHEN weekofyear({dd}) > week THEN 0.0 ELSE {p} END AS week_sales_to_date,
+      CASE WHEN month({dd}) > month THEN 0.0 ELSE {p} END AS month_sales_to_date,
+      (CASE WHEN month({dd}) > month THEN 0.0 ELSE {p} END) / NULLIF(avg_same_month_sales, 0) AS percentage_sold_of_month,
+      (CASE WHEN weekofyear({dd}) > week THEN 0.0 ELSE {p} END) / NULLIF(avg_same_week_sales, 0) AS percentage_sold_of_week,
+      CAST(isodow({dd}) - 1 AS INTEGER) AS weekday, CAST(weekofyear({dd}) AS INTEGER) AS week,
+      CAST(month({dd}) AS INTEGER) AS month, CAST(year({dd}) AS INTEGER) AS year, {", ".join(cyc)}
+    FROM (SELECT *, ln(sales + 1) AS predicted FROM feats WHERE date = {O.d(C.prediction_start)}) s"""
+
+
+@register("o44_advance_state", sql(FEATS, _step_sql(), STEP_DBL))
+def q_step(spark, sf):
+    """O44 (reference mode), one step from the first prediction day with the
+    forecast replaced by the actual (teacher forcing), so SQL can check it."""
+    f = ctx(spark, sf).features.where(F.col("date") == F.lit(C.prediction_start).cast("date")) \
+        .withColumn("predicted", F.log1p("sales"))
+    return RC.advance_state_compat(f, STEP_DAY, C.lags).select(*STEP_COLS)
+
+
+# ---------------------------------------------------------------- model-backed (rows-only)
+def _forecast(spark, sf):
+    """One boosted-model run per session and table folder, shared by the
+    model-backed queries below."""
+    c = ctx(spark, sf)
+    if not hasattr(c, "_fc"):
+        from panelcast.plans.forecast import run_forecast
+        fc = run_forecast(c.joined.where(F.col("date").between(
+            F.lit(C.train_start).cast("date"), F.lit(C.prediction_end).cast("date"))), C)
+        from panelcast.session import cut_lineage
+        fc.merged = cut_lineage(fc.merged)
+        c._fc = fc
+    return c._fc
+
+
+@register("o41_train_gbt")
+def q_gbt(spark, sf):
+    """Validation-split predictions of the fitted boosted model."""
+    from panelcast.operators import models as MD
+    fc = _forecast(spark, sf)
+    md = MD.create_datasets(fc.matrix, C)
+    te = MD.with_features(md.test, fc.feature_cols)
+    return fc.model.transform(te).select("date", *K, "sales", MD.back_transform("prediction").alias("predicted"))
+
+
+@register("o43_feature_importance")
+def q_importance(spark, sf):
+    from panelcast.operators import models as MD
+    fc = _forecast(spark, sf)
+    return MD.feature_importance(fc.model, fc.feature_cols)
+
+
+@register("o45_recursive_forecast")
+def q_recursive(spark, sf):
+    return _forecast(spark, sf).lgb
+
+
+@register("o13_combine_results")
+def q_combine(spark, sf):
+    return _forecast(spark, sf).merged
+
+
+@register("o49_blend_forecasts")
+def q_blend(spark, sf):
+    m = _forecast(spark, sf).merged
+    return m.select("date", *K, "lgb_predicted", "predicted_fbprophet")
+
+
+@register("o50_forecast_run")
+def q_run(spark, sf):
+    """The five output columns of a forecast run."""
+    from panelcast.sources.sinks import PREDICTION_COLUMNS
+    return _forecast(spark, sf).merged.select(*PREDICTION_COLUMNS)
+
+
+@register("o16_train_columns")
+def q_train_cols(spark, sf):
+    cols = PR.train_columns(ctx(spark, sf).matrix.columns, C.except_cols)
+    return spark.createDataFrame([(i, c) for i, c in enumerate(cols)], "position int, column_name string")
+
+
+@register("o63_sort_panel")
+def q_sorted(spark, sf):
+    return P.sort_panel(ctx(spark, sf).panel)
+
+
+@register("o46b_ridge_trend")
+def q_ridge(spark, sf):
+    p = ctx(spark, sf).panel
+    return BL.ridge_trend_forecast(P.filter_date_range(p, C.train_start, C.test_end),
+                                   P.filter_date_range(p, C.prediction_start, C.prediction_end),
+                                   C.train_start, C.test_end)
+
+
+def _scratch(spark, name):
+    from panelcast.session import ensure_checkpoint_dir
+    import uuid
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:8]}"
+
+
+@register("o05_write_predictions")
+def q_write(spark, sf):
+    """Write the forecast output as CSV with a header, read it back."""
+    from panelcast.sources.sinks import write_predictions
+    from panelcast.sources.files import read_csv
+    path = _scratch(spark, "predictions")
+    write_predictions(_forecast(spark, sf).merged, path)
+    return read_csv(spark, path, "date date, hierarchy1_id string, storetype_id string, sales double, "
+                                 "lgb_predicted double")
+
+
+@register("o06_results_roundtrip")
+def q_results(spark, sf):
+    """Backtest results appended per period, re-read with parsed dates."""
+    from panelcast.sources.sinks import append_results, read_results
+    path = _scratch(spark, "results")
+    append_results(_bt_results(spark, sf), path)
+    return read_results(spark, path)
