@@ -58,11 +58,15 @@ def ape_columns(results: DataFrame, models=None, target: str = "sales",
 
 
 def score_by(results: DataFrame, by, score_cols, round_to: int | None = None) -> DataFrame:
-    """O56 (by prediction_period) / O57 (by group, rounded half-even)."""
+    """O56 (by prediction_period) / O57 (by group, rounded like pandas
+    round(n): half-even on the scaled double, rint(x * 10^n) / 10^n)."""
     aggs = []
     for c in score_cols:
         a = F.avg(c)
-        aggs.append((F.bround(a, round_to) if round_to is not None else a).alias(c))
+        if round_to is not None:
+            s = float(10 ** round_to)
+            a = F.rint(a * F.lit(s)) / F.lit(s)
+        aggs.append(a.alias(c))
     return results.groupBy(*by).agg(*aggs)
 
 
