@@ -127,7 +127,9 @@ def build_panel(data: DataFrame, cfg: ForecastConfig) -> DataFrame:
     instead of three separate scans and group-bys.
     """
     keys = cfg.keys
-    sums = daily_sums(data, cfg.train_start, cfg.prediction_end, cfg.target, keys)
+    # (date, K) sums: days x groups rows, read by four branches below. Kept
+    # in memory once instead of re-running the fact scan and joins per branch.
+    sums = daily_sums(data, cfg.train_start, cfg.prediction_end, cfg.target, keys).persist()
     in_train = F.col("date").between(_lit_date(cfg.train_start), _lit_date(cfg.train_end))
     in_test = F.col("date").between(_lit_date(cfg.test_start), _lit_date(cfg.test_end))
     hist = calendar_columns(sums.where(in_train | in_test), iso_year=cfg.iso_year) \

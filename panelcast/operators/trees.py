@@ -1,0 +1,81 @@
+"""A fitted MLlib GBT regression model as flat numpy arrays.
+
+Used by the grouped recursive forecast: the ensemble travels to the
+executors inside the task closure. Its size is bounded by
+maxIter x 2^(maxDepth + 1) nodes, independent of the data.
+"""
+
+from __future__ import annotations
+
+import re
+
+import numpy as np
+
+_IF = re.compile(r"^\s*If \(feature (\d+) <= (\S+)\)\s*$")
+_ELSE = re.compile(r"^\s*Else \(feature (\d+) > (\S+)\)\s*$")
+_LEAF = re.compile(r"^\s*Predict: (\S+)\s*$")
+_TREE = re.compile(r"^\s*Tree (\d+) \(weight (\S+)\):\s*$")
+
+
+def _parse_tree(lines, i):
+    """Pre-order parse starting at lines[i]; returns (nodes, next index).
+    node = [feature, threshold, left, right, value]; leaves have feature -1."""
+    nodes = []
+
+    def rec(i):
+        m = _LEAF.match(lines[i])
+        me = len(nodes)
+        if m:
+            nodes.append([-1, 0.0, -1, -1, float(m.group(1))])
+            return i + 1
+        m = _IF.match(lines[i])
+        if not m:
+            raise ValueError(f"unexpected tree line: {lines[i]!r}")
+        nodes.append([int(m.group(1)), float(m.group(2)), -1, -1, 0.0])
+        nodes[me][2] = len(nodes)
+        i = rec(i + 1)
+        if not _ELSE.match(lines[i]):
+            raise ValueError(f"expected Else: {lines[i]!r}")
+        nodes[me][3] = len(nodes)
+        return rec(i + 1)
+
+    return nodes, rec(i)
+
+
+def export_ensemble(model) -> dict:
+    """Parse ``model.toDebugString`` (continuous splits only, which is all a
+    vector without categorical metadata produces)."""
+    lines = [ln for ln in model.toDebugString.splitlines() if ln.strip()]
+    trees, weights = [], []
+    i = 1
+    while i < len(lines):
+        m = _TREE.match(lines[i])
+        if not m:
+            raise ValueError(f"expected tree header: {lines[i]!r}")
+        weights.append(float(m.group(2)))
+        nodes, i = _parse_tree(lines, i + 1)
+        a = np.array(nodes, dtype=float)
+        trees.append({"feature": a[:, 0].astype(np.int64), "threshold": a[:, 1],
+                      "left": a[:, 2].astype(np.int64), "right": a[:, 3].astype(np.int64), "value": a[:, 4]})
+    return {"trees": trees, "weights": np.array(weights)}
+
+
+def predict(ens: dict, X: np.ndarray) -> np.ndarray:
+    """Sum of weight x leaf value; a split sends `x <= threshold` left."""
+    X = np.atleast_2d(X)
+    n = X.shape[0]
+    rows = np.arange(n)
+    out = np.zeros(n)
+    for t, w in zip(ens["trees"], ens["weights"]):
+        idx = np.zeros(n, dtype=np.int64)
+        while True:
+            f = t["feature"][idx]
+            internal = f >= 0
+            if not internal.any():
+                break
+            x = X[rows, np.where(internal, f, 0)]
+            go_left = x <= t["threshold"][idx]
+            nxt = np.where(go_left, t["left"][idx], t["right"][idx])
+            idx = np.where(internal, nxt, idx)
+        out += w * t["value"][idx]
+    return out

@@ -12,7 +12,7 @@ from panelcast.operators import features as FE
 from panelcast.operators import baselines as BL
 from panelcast.operators import metrics as M
 from panelcast.operators import models as MD
-from panelcast.operators.recursive import recursive_forecast
+from panelcast.operators.recursive import recursive_forecast, recursive_forecast_grouped
 from panelcast.sources.tables import joined_sales
 from panelcast.sources.sinks import write_predictions
 from panelcast.session import cut_lineage
@@ -42,7 +42,10 @@ def run_forecast(data: DataFrame, cfg: ForecastConfig, output_path: str | None =
     fb = BL.trend_forecast(panel, panel, cfg, cfg.train_start, cfg.train_end, out_col="fb_feature")
     md = MD.create_datasets(matrix, cfg, fb)
     model = MD.train_gbt(md, cfg)
-    lgb = recursive_forecast(model, md.predict, panel, md.feature_cols, cfg)
+    if cfg.recursion_engine == "grouped":
+        lgb = recursive_forecast_grouped(model, md.predict, panel, md.feature_cols, cfg)
+    else:
+        lgb = recursive_forecast(model, md.predict, panel, md.feature_cols, cfg)
     actual = md.predict.select("date", *cfg.keys, cfg.target)
     lgb = lgb.join(actual, ["date", *cfg.keys], "left").select("date", *cfg.keys, cfg.target, "predicted")
     if check:

@@ -70,3 +70,19 @@ def test_scoring_rules(spark):
     # 0.35 * 10 == 3.5 in doubles -> half-even -> 0.4 (numpy); bround would give 0.3
     r = M.score_by(spark.createDataFrame([("a", 0.35)], "k string, x double"), ["k"], ["x"], 1).first()
     assert r["x"] == 0.4
+
+
+def test_tree_export_matches_mllib(spark):
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.regression import GBTRegressor
+    import numpy as np
+    from panelcast.operators.trees import export_ensemble, predict
+    df = spark.range(400).select(
+        array_to_vector(F.array((F.col("id") % 7).cast("double"), (F.col("id") * 0.37 % 5).cast("double"),
+                                F.lit(-1.0))).alias("features"),
+        ((F.col("id") % 7) * 1.5 + F.rand(3)).alias("label"))
+    m = GBTRegressor(maxIter=4, maxDepth=3, seed=1).fit(df)
+    got = m.transform(df).select("features", "prediction").collect()
+    X = np.array([r["features"].toArray() for r in got])
+    ours = predict(export_ensemble(m), X)
+    assert np.allclose(ours, [r["prediction"] for r in got], rtol=0, atol=1e-9)
