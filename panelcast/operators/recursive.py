@@ -182,9 +182,17 @@ def recursive_forecast_grouped(model, predict_frame: DataFrame, panel: DataFrame
     (``recursive_forecast``); the tests check that both agree."""
     import numpy as np
     import pandas as pd
-    from panelcast.operators.trees import export_ensemble, predict as tree_predict
-
-    ens = export_ensemble(model)
+    from pyspark import cloudpickle
+    from panelcast.operators import trees as _trees
+    # Ship the tiny tree module inside the task closure, so executors need no
+    # installed copy of this package; everything else the closure uses is a
+    # plain value captured below.
+    cloudpickle.register_pickle_by_value(_trees)
+    tree_predict = _trees.predict
+    missing = MD.MISSING
+    cyc_order, cyc_max = tuple(CYCLIC_ORDER), dict(MANUAL_CYCLE_MAX)
+
+    ens = _trees.export_ensemble(model)
     k = list(cfg.keys)
     lags, compat, mode = tuple(cfg.lags), cfg.compat, cfg.lag_mode
     depth, horizon, start = max(lags), cfg.horizon, cfg.prediction_start
@@ -201,7 +209,7 @@ def recursive_forecast_grouped(model, predict_frame: DataFrame, panel: DataFrame
     two_pi = 2 * np.pi
 
     def fill(row):
-        r = np.where(np.isnan(row), MD.MISSING, row)
+        r = np.where(np.isnan(row), missing, row)
         return r
 
     def setv(row, c, v):
@@ -253,8 +261,8 @@ def recursive_forecast_grouped(model, predict_frame: DataFrame, panel: DataFrame
                 vals = {"weekday": d.weekday(), "week": wk, "month": mo, "quarter": (mo - 1) // 3 + 1}
                 setv(row, "weekday", vals["weekday"])
                 setv(row, "year", d.year)
-                for c in CYCLIC_ORDER:
-                    a = two_pi * float(vals[c]) / float(MANUAL_CYCLE_MAX[c])
+                for c in cyc_order:
+                    a = two_pi * float(vals[c]) / float(cyc_max[c])
                     setv(row, f"{c}_sin", np.sin(a))
                     setv(row, f"{c}_cos", np.cos(a))
                 week_prev, month_prev = wk, mo
