@@ -1,0 +1,6 @@
+"""Intentionally empty.
+
+The reference reads batch CSV files only; it has no streams, watermarks,
+windows over event time or stateful operators. Nothing here is needed to
+run its queries, so no streaming operator is provided.
+"""
