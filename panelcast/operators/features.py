@@ -201,7 +201,9 @@ def categorical_features(data: DataFrame, features=SHARE_FEATURES, target: str =
     The pivot column list is the distinct value names (bounded by
     spark.sql.pivotMaxValues); Spark computes it with one small job."""
     idx = ["year_month", *keys]
-    long = share_long(data, features, target, idx, shift)
+    # months x groups x values rows; kept once because the pivot reads it
+    # twice (value discovery, then the pivot itself)
+    long = share_long(data, features, target, idx, shift).persist()
     named = long.select(*idx, F.concat(F.col("value"), F.lit("_"), F.col("feature")).alias("__name"), "share")
     wide = named.groupBy(*idx).pivot("__name").agg(F.first("share"))
     vcols = [c for c in wide.columns if c not in idx]

@@ -80,12 +80,16 @@ def train_gbt(md: ModelData, cfg: ForecastConfig) -> GBTRegressionModel:
     cols = ["date", *cfg.keys, t, "weight", "__val", *md.feature_cols]
     both = tr.select(*cols).unionByName(te.select(*cols)).where(F.col(t).isNotNull())
     both = with_features(both, md.feature_cols).withColumn("label", log_transform(t))
+    # MLlib reads its input several times (split sampling, binning, validation):
+    # start it from a checkpoint, not from the encoding joins.
+    from panelcast.session import cut_lineage
+    both = cut_lineage(both.select("features", "label", "weight", "__val"))
     gbt = GBTRegressor(featuresCol="features", labelCol="label", weightCol="weight",
                        validationIndicatorCol="__val", maxIter=cfg.gbt_max_iter, stepSize=cfg.gbt_step_size,
                        maxDepth=cfg.gbt_max_depth, maxBins=cfg.gbt_max_bins,
                        minInstancesPerNode=cfg.gbt_min_instances, validationTol=cfg.gbt_validation_tol,
                        seed=cfg.seed)
-    return gbt.fit(both.select("features", "label", "weight", "__val"))
+    return gbt.fit(both)
 
 
 def feature_importance(model: GBTRegressionModel, feature_cols, top: int = 25):

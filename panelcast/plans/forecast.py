@@ -39,7 +39,10 @@ def run_forecast(data: DataFrame, cfg: ForecastConfig, output_path: str | None =
     # The feature table is panel-sized and read by every later stage: write it
     # to the checkpoint folder so later plans start from it, not from the scan.
     matrix = cut_lineage(FE.build_feature_matrix(data, panel, cfg))
-    fb = BL.trend_forecast(panel, panel, cfg, cfg.train_start, cfg.train_end, out_col="fb_feature")
+    # The trend feature only matters when the model uses it (reference quirk
+    # Q10: it is computed but left out of the model's columns).
+    fb = BL.trend_forecast(panel, panel, cfg, cfg.train_start, cfg.train_end, out_col="fb_feature") \
+        if cfg.use_trend_feature else None
     md = MD.create_datasets(matrix, cfg, fb)
     model = MD.train_gbt(md, cfg)
     if cfg.recursion_engine == "grouped":
