@@ -88,7 +88,7 @@ def fold_panels(sums: DataFrame, folds: DataFrame, target: str = "sales", keys=K
 def backtest_baselines(panels: DataFrame, folds: DataFrame, target: str = "sales", keys=KEYS) -> DataFrame:
     """O52 without the boosted model: seasonal average and linear trend for
     every fold at once; fold id is part of every grouping key."""
-    from panelcast.operators.baselines import seasonal_average_baseline
+    from panelcast.operators.baselines import seasonal_average_baseline, linear_trend_forecast
     k = list(keys)
     fk = ["prediction_period", *k]
     f = F.broadcast(folds.select("prediction_period", "train_start", "test_end",
@@ -97,17 +97,7 @@ def backtest_baselines(panels: DataFrame, folds: DataFrame, target: str = "sales
     hist = p.where(F.col("date").between(F.col("train_start"), F.col("test_end")))
     pred = p.where(F.col("date").between(F.col("prediction_start"), F.col("prediction_end")))
     sa = seasonal_average_baseline(hist, pred, target, fk)
-    # linear trend with a per-fold origin
-    x = F.datediff(F.col("date"), F.col("train_start")).cast("double")
-    h = hist.withColumn("__x", x)
-    coef = h.groupBy(*fk).agg(F.regr_intercept(F.col(target), F.col("__x")).alias("__a"),
-                              F.regr_slope(F.col(target), F.col("__x")).alias("__b"))
-    resid = (h.join(coef, fk).withColumn("__wd", F.weekday("date")).groupBy(*fk, "__wd")
-              .agg(F.avg(F.col(target) - F.col("__a") - F.col("__b") * F.col("__x")).alias("__e")))
-    a = (pred.select(*fk, "date", "train_start").withColumn("__x", x).withColumn("__wd", F.weekday("date"))
-             .join(coef, fk, "left").join(resid, [*fk, "__wd"], "left"))
-    yhat = F.col("__a") + F.col("__b") * F.col("__x") + F.coalesce(F.col("__e"), F.lit(0.0))
-    tr = a.select(*fk, "date", clamp_non_negative(yhat).alias("predicted_fbprophet"))
+    tr = linear_trend_forecast(hist, pred, "train_start", target, fk)
     actual = pred.select(*fk, "date", target)
     return (actual.join(sa, [*fk, "date"], "inner").join(tr, [*fk, "date"], "inner")
                   .select("date", *k, target, "predicted_seasonal_average", "predicted_fbprophet",

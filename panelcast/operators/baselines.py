@@ -12,7 +12,7 @@ import datetime as dt
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,26 +29,31 @@ def seasonal_average_baseline(history: DataFrame, prediction: DataFrame, target:
     1 when Y-1 is absent). Otherwise mean by weekday over year Y. Clamped;
     NULL for unseen keys and for a 0 denominator (pandas gives inf).
 
+    History and prediction rows go into one frame; every statistic is a
+    window over K or (K, weekday[_week]), so one hash partitioning on K
+    serves all of them: a single exchange, no per-group tables joined back.
     `prediction` needs (date, year, weekday_week, weekday, K)."""
     k = list(keys)
-    pr = prediction.select("date", "year", "weekday_week", "weekday", *k).distinct()
-    ymax = pr.groupBy(*k).agg(F.max("year").alias("__Y"))
-    h = history.select(*k, "year", "weekday", "weekday_week", target).join(ymax, k)
-    y, Y = F.col("year"), F.col("__Y")
-    flags = h.groupBy(*k).agg(
-        F.max((y < Y).cast("int")).alias("__has_prev"),
-        F.max((y == Y - 1).cast("int")).alias("__has_ym1"),
-        F.coalesce(F.sum(F.when(y == Y, F.col(target))), F.lit(0.0)).alias("__sY"),
-        F.coalesce(F.sum(F.when(y == Y - 1, F.col(target))), F.lit(0.0)).alias("__sY1"))
+    cols = ["date", "year", "weekday", "weekday_week", *k]
+    pr = prediction.select(*cols).distinct().withColumn(target, F.lit(None).cast("double")) \
+                   .withColumn("__pred", F.lit(True))
+    h = history.select(*cols, F.col(target).cast("double").alias(target)).withColumn("__pred", F.lit(False))
+    u = h.unionByName(pr)
+    wk = Window.partitionBy(*k)
+    hist, y, t = ~F.col("__pred"), F.col("year"), F.col(target)
+    u = u.withColumn("__Y", F.max(F.when(F.col("__pred"), y)).over(wk))
+    Y = F.col("__Y")
+    u = u.withColumns({
+        "__has_prev": F.max(F.when(hist & (y < Y), 1)).over(wk),
+        "__has_ym1": F.max(F.when(hist & (y == Y - 1), 1)).over(wk),
+        "__sY": F.coalesce(F.sum(F.when(hist & (y == Y), t)).over(wk), F.lit(0.0)),
+        "__sY1": F.coalesce(F.sum(F.when(hist & (y == Y - 1), t)).over(wk), F.lit(0.0)),
+        "__avg_ww": F.avg(F.when(hist, t)).over(Window.partitionBy(*k, "weekday_week")),
+        "__avg_wd": F.avg(F.when(hist & (y == Y), t)).over(Window.partitionBy(*k, "weekday")),
+    })
     trend = F.when(F.col("__has_ym1") == 1, F.try_divide(F.col("__sY"), F.col("__sY1"))).otherwise(F.lit(1.0))
-    flags = flags.withColumn("__trend", trend)
-    avg_ww = h.groupBy(*k, "weekday_week").agg(F.avg(target).alias("__avg_ww"))
-    avg_wd = h.where(y == Y).groupBy(*k, "weekday").agg(F.avg(target).alias("__avg_wd"))
-    out = (pr.join(flags, k, "left")
-             .join(avg_ww, [*k, "weekday_week"], "left")
-             .join(avg_wd, [*k, "weekday"], "left"))
-    val = F.when(F.col("__has_prev") == 1, F.col("__avg_ww") * F.col("__trend")).otherwise(F.col("__avg_wd"))
-    return out.select("date", *k, clamp_non_negative(val).alias("predicted_seasonal_average"))
+    val = F.when(F.col("__has_prev") == 1, F.col("__avg_ww") * trend).otherwise(F.col("__avg_wd"))
+    return u.where(F.col("__pred")).select("date", *k, clamp_non_negative(val).alias("predicted_seasonal_average"))
 
 
 def seasonal_average_summary(history: DataFrame, prediction: DataFrame, target: str = "sales",
@@ -74,23 +79,31 @@ def _days_since(start: dt.date):
     return F.datediff(F.col("date"), F.lit(start).cast("date")).cast("double")
 
 
-def linear_trend_forecast(history: DataFrame, apply_to: DataFrame, origin: dt.date,
-                          target: str = "sales", keys=KEYS, out_col: str = "predicted_fbprophet") -> DataFrame:
-    """O46(a): per group least-squares line on x = days since `origin`, plus
-    the mean residual by weekday; clamped. `apply_to` needs (date, K)."""
+def linear_trend_forecast(history: DataFrame, apply_to: DataFrame, origin, target: str = "sales",
+                          keys=KEYS, out_col: str = "predicted_fbprophet") -> DataFrame:
+    """O46(a): per group least-squares line on x = days since `origin` (a
+    date, or the name of a date column carried by both frames), plus the mean
+    residual by weekday; clamped. `apply_to` needs (date, K).
+
+    Like O47: one frame of history + target rows, window aggregates over K
+    and (K, weekday), one exchange."""
     k = list(keys)
-    h = history.select("date", *k, target).withColumn("__x", _days_since(origin))
-    coef = h.groupBy(*k).agg(F.regr_intercept(F.col(target), F.col("__x")).alias("__a"),
-                             F.regr_slope(F.col(target), F.col("__x")).alias("__b"))
-    resid = (h.join(coef, k)
-              .withColumn("__wd", F.weekday("date"))
-              .groupBy(*k, "__wd")
-              .agg(F.avg(F.col(target) - F.col("__a") - F.col("__b") * F.col("__x")).alias("__e")))
-    a = (apply_to.select("date", *k).distinct()
-             .withColumn("__x", _days_since(origin)).withColumn("__wd", F.weekday("date"))
-             .join(coef, k, "left").join(resid, [*k, "__wd"], "left"))
-    yhat = F.col("__a") + F.col("__b") * F.col("__x") + F.coalesce(F.col("__e"), F.lit(0.0))
-    return a.select("date", *k, clamp_non_negative(yhat).alias(out_col))
+    extra = [origin] if isinstance(origin, str) else []
+    o = F.col(origin) if extra else F.lit(origin).cast("date")
+    h = history.select("date", *k, *extra, F.col(target).cast("double").alias("__y")) \
+               .withColumn("__fit", F.lit(True))
+    a = apply_to.select("date", *k, *extra).distinct().withColumn("__y", F.lit(None).cast("double")) \
+                .withColumn("__fit", F.lit(False))
+    u = h.unionByName(a).withColumn("__x", F.datediff(F.col("date"), o).cast("double")) \
+         .withColumn("__wd", F.weekday("date"))
+    fit, y, x = F.col("__fit"), F.col("__y"), F.col("__x")
+    wk = Window.partitionBy(*k)
+    u = u.withColumns({"__a": F.regr_intercept(F.when(fit, y), F.when(fit, x)).over(wk),
+                       "__b": F.regr_slope(F.when(fit, y), F.when(fit, x)).over(wk)})
+    u = u.withColumn("__e", F.avg(F.when(fit, y - F.col("__a") - F.col("__b") * x))
+                     .over(Window.partitionBy(*k, "__wd")))
+    yhat = F.col("__a") + F.col("__b") * x + F.coalesce(F.col("__e"), F.lit(0.0))
+    return u.where(~fit).select("date", *k, clamp_non_negative(yhat).alias(out_col))
 
 
 # ---------------------------------------------------------------- O46 (b)
