@@ -27,6 +27,7 @@ class ForecastResult:
     lgb: DataFrame
     baseline: DataFrame
     merged: DataFrame
+    datasets: object = None
 
 
 def run_forecast(data: DataFrame, cfg: ForecastConfig, output_path: str | None = None,
@@ -59,7 +60,7 @@ def run_forecast(data: DataFrame, cfg: ForecastConfig, output_path: str | None =
     merged = MD.combine_results(lgb, base, cfg.keys)
     if output_path:
         write_predictions(merged, output_path)
-    return ForecastResult(panel, matrix, model, md.feature_cols, lgb, base, merged)
+    return ForecastResult(panel, matrix, model, md.feature_cols, lgb, base, merged, md)
 
 
 def forecast_tables(spark: SparkSession, sf_dir: str, cfg: ForecastConfig = FIXTURE_CONFIG,

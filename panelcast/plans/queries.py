@@ -701,8 +701,7 @@ def q_gbt(spark, sf):
     """Validation-split predictions of the fitted boosted model."""
     from panelcast.operators import models as MD
     fc = _forecast(spark, sf)
-    md = MD.create_datasets(fc.matrix, C)
-    te = MD.with_features(md.test, fc.feature_cols)
+    te = MD.with_features(fc.datasets.test, fc.feature_cols)
     return fc.model.transform(te).select("date", *K, "sales", MD.back_transform("prediction").alias("predicted"))
 
 
