@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from panelcast.config import ForecastConfig, FIXTURE_CONFIG
 from panelcast.operators import panel as P
@@ -79,3 +80,43 @@ def baseline_report(spark: SparkSession, sf_dir: str, cfg: ForecastConfig = FIXT
     res = actual.join(base, ["date", *cfg.keys], "inner")
     models = {"seasonal_average": "predicted_seasonal_average", "fbprophet": "predicted_fbprophet"}
     return M.mape_by_group(res, models, cfg.target, cfg.keys)
+
+
+def rolling_backtest(data: DataFrame, first_end, last_end, base: ForecastConfig,
+                     results_path: str | None = None) -> DataFrame:
+    """E2 / O52 with the boosted model: for every month end in
+    [first_end, last_end] run the forecast with the derived fold dates, tag
+    it with `prediction_period` and union the folds. The fold table has one
+    row per fold (a handful), the only thing the driver reads; each fold's
+    work is distributed. Optionally appended to a results table (O06)."""
+    from panelcast.operators import backtest as BT
+    from panelcast.sources.sinks import append_results
+    spark = data.sparkSession
+    folds = BT.backtest_folds(spark, first_end, last_end, base.train_start)
+    bad = BT.validate_folds(folds).count()
+    if bad:
+        raise ValueError(f"{bad} backtest folds violate the date order")
+    out = None
+    for period, cfg in BT.fold_configs(folds.orderBy("prediction_period").collect(), base):
+        fold_data = P.filter_date_range(data, cfg.train_start, cfg.prediction_end)
+        r = run_forecast(fold_data, cfg)
+        part = cut_lineage(r.merged.withColumn("prediction_period", F.lit(period).cast("date")))
+        out = part if out is None else out.unionByName(part)
+    if results_path:
+        append_results(out, results_path)
+    return out
+
+
+def score_results(results: DataFrame, cfg: ForecastConfig = FIXTURE_CONFIG) -> dict:
+    """Day-share filter, APE columns for the three models, then the
+    report tables (by period, by group rounded, MAPE by group, totals)."""
+    models = M.MODEL_COLUMNS
+    filt = M.day_share_weight(results, cfg.target)
+    scored = M.ape_columns(M.ape_columns(filt, models, cfg.target), models, cfg.target, weighted=True)
+    cols = [f"mape_{n}" for n in models]
+    return {
+        "by_period": M.score_by(scored, ["prediction_period"], cols),
+        "by_group": M.score_by(scored, list(cfg.keys), cols, round_to=1),
+        "mape_by_group": M.mape_by_group(results, models, cfg.target, cfg.keys),
+        "totals": M.column_totals(results, [cfg.target, *models.values()]),
+    }

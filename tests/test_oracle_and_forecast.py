@@ -108,3 +108,22 @@ def test_forecast_run_blend_is_mean(spark, tmp_path):
     back = spark.read.option("header", True).csv(str(tmp_path / "out"))
     assert back.columns == ["date", "hierarchy1_id", "storetype_id", "sales", "lgb_predicted"]
     assert back.count() == r.merged.count()
+
+
+def test_rolling_backtest_with_model(spark, tmp_path):
+    from panelcast.config import FIXTURE_CONFIG
+    from panelcast.plans.forecast import rolling_backtest, score_results
+    from panelcast.sources.tables import joined_sales
+    cfg = replace(FIXTURE_CONFIG, gbt_max_iter=2)
+    data = joined_sales(spark, SF0001)
+    res = rolling_backtest(data, dt.date(2001, 5, 31), dt.date(2001, 6, 30), cfg, str(tmp_path / "res"))
+    periods = sorted(r[0] for r in res.select("prediction_period").distinct().collect())
+    assert periods == [dt.date(2001, 5, 31), dt.date(2001, 6, 30)]
+    per = res.groupBy("prediction_period").agg(F.countDistinct("hierarchy1_id", "storetype_id").alias("g"),
+                                               F.count(F.lit(1)).alias("n")).collect()
+    for r in per:
+        assert r["n"] == r["g"] * 31  # 05-01..05-31 and 05-31..06-30 (month-end clipping)
+    sc = score_results(res, cfg)
+    assert sc["by_period"].count() == 2
+    assert set(sc["by_group"].columns) >= {"mape_lgb", "mape_fbprophet", "mape_seasonal_average"}
+    assert spark.read.parquet(str(tmp_path / "res")).count() == res.count()
