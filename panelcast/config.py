@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 # Panel key: product category x store type.
 KEYS: tuple[str, str] = ("hierarchy1_id", "storetype_id")
@@ -71,7 +71,6 @@ class ForecastConfig:
     # Trend model behind 'predicted_fbprophet': 'linear' or 'ridge'.
     trend_model: str = "linear"
     use_trend_feature: bool = False
-    extra: dict = field(default_factory=dict, compare=False)
 
     def __post_init__(self):
         for name in ("train_start", "train_end", "test_start", "test_end",
