@@ -133,3 +133,23 @@ def test_config_validation():
     import pytest
     with pytest.raises(ValueError):
         FIXTURE_CONFIG.with_dates(test_start=FIXTURE_CONFIG.train_end).validate()
+
+
+def test_lookup_by_key_raises_on_missing_key(spark):
+    import pytest
+    schema = "date date, hierarchy1_id string, storetype_id string"
+    rows = spark.createDataFrame([(D(2019, 1, 1), "h", "s"), (D(2019, 1, 2), "h", "s")], schema)
+    feat = spark.createDataFrame([(D(2019, 1, 1), "h", "s", 1.5)], schema + ", fb_feature double")
+    out = FE.attach_feature_by_key(rows, feat, "fb_feature").orderBy("date").collect()
+    assert [r["fb_feature"] for r in out] == [1.5, None]
+    with pytest.raises(KeyError):
+        FE.attach_feature_by_key(rows, feat, "fb_feature", check=True)
+
+
+def test_assert_complete_raises(spark):
+    import pytest
+    schema = "date date, hierarchy1_id string, storetype_id string, sales double"
+    df = spark.createDataFrame([(D(2019, 1, 13), "a", "s", 1.0), (D(2019, 1, 13), "b", "s", 1.0)], schema)
+    with pytest.raises(RuntimeError, match="expected 4 rows, received 2"):
+        P.assert_complete(df, 2, "recursive predictions")
+    P.assert_complete(df, 1, "recursive predictions")
