@@ -52,10 +52,13 @@ def run_forecast(data: DataFrame, cfg: ForecastConfig, output_path: str | None =
     else:
         lgb = recursive_forecast(model, md.predict, panel, md.feature_cols, cfg)
     actual = md.predict.select("date", *cfg.keys, cfg.target)
-    lgb = lgb.join(actual, ["date", *cfg.keys], "left").select("date", *cfg.keys, cfg.target, "predicted")
+    # groups x horizon rows each: materialise once, so the completeness checks
+    # and the blend do not run the recursion / baselines a second time
+    lgb = cut_lineage(lgb.join(actual, ["date", *cfg.keys], "left")
+                         .select("date", *cfg.keys, cfg.target, "predicted"))
     if check:
         P.assert_complete(lgb, cfg.horizon, "recursive predictions", cfg.keys)
-    base = BL.baseline_models(panel, cfg)
+    base = cut_lineage(BL.baseline_models(panel, cfg))
     if check:
         P.assert_complete(base, cfg.horizon, "baseline predictions", cfg.keys)
     merged = MD.combine_results(lgb, base, cfg.keys)
