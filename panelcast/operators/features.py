@@ -142,15 +142,35 @@ def fixed_point_mean(c: str, scale: float | None) -> Column:
 
 def product_features(data: DataFrame, keys=KEYS, shift: int = 1) -> DataFrame:
     """Per (K, year_month): distinct products and stores, min/mean/max of
-    size and price attributes over transaction rows; attached to the next month."""
+    size and price attributes over transaction rows; attached to the next month.
+
+    Two levels: first one row per (K, month, product, store) with min, max,
+    sum and count of every attribute (map-side combined), then the month
+    level combines those and counts distinct products and stores on the
+    reduced table. The exact distinct counts thus expand the reduced rows,
+    not the fact rows, and means stay sums over transaction rows."""
+    k = list(keys)
+    attrs = ("product_length", "product_depth", "product_width", "store_size", "price")
+
+    def summable(c):
+        scale = MEAN_SCALE.get(c)
+        return F.round(F.col(c) * F.lit(scale)).cast("long") if scale else F.col(c)
+
+    lvl1 = data.dropna(subset=[*k, "year_month"]).groupBy(*k, "year_month", "product_id", "store_id").agg(
+        *[a for c in attrs for a in (F.min(c).alias(f"{c}__min"), F.max(c).alias(f"{c}__max"),
+                                     F.sum(summable(c)).alias(f"{c}__sum"), F.count(c).alias(f"{c}__n"))])
+
+    def mean(c):
+        s = F.try_divide(F.sum(f"{c}__sum").cast("double"), F.sum(f"{c}__n"))
+        return s / F.lit(MEAN_SCALE[c]) if c in MEAN_SCALE else s
+
     aggs = [F.count_distinct("product_id").alias("number_of_products")]
     for c in ("product_length", "product_depth", "product_width"):
-        aggs += [F.min(c).alias(f"{c}_min"), F.avg(c).alias(f"{c}_mean"), F.max(c).alias(f"{c}_max")]
+        aggs += [F.min(f"{c}__min").alias(f"{c}_min"), mean(c).alias(f"{c}_mean"), F.max(f"{c}__max").alias(f"{c}_max")]
     aggs.append(F.count_distinct("store_id").alias("number_of_stores"))
     for c in ("store_size", "price"):
-        aggs += [F.min(c).alias(f"{c}_min"), fixed_point_mean(c, MEAN_SCALE[c]).alias(f"{c}_mean"),
-                 F.max(c).alias(f"{c}_max")]
-    out = data.dropna(subset=[*keys, "year_month"]).groupBy(*keys, "year_month").agg(*aggs)
+        aggs += [F.min(f"{c}__min").alias(f"{c}_min"), mean(c).alias(f"{c}_mean"), F.max(f"{c}__max").alias(f"{c}_max")]
+    out = lvl1.groupBy(*k, "year_month").agg(*aggs)
     return out.withColumn("year_month", shift_year_month("year_month", shift))
 
 
