@@ -52,3 +52,15 @@ def test_baselines_one_exchange_per_model(spark):
     assert sa.count("Exchange") == 2, sa
     assert tr.count("Exchange") == 2, tr
     assert "Join" not in sa and "Join" not in tr
+
+
+def test_product_stats_expand_after_first_aggregate(spark):
+    data = P.prepare_data(joined_sales(spark, SF001, C.train_start, C.prediction_end), C)
+    tree = _tree(FE.product_features(data))
+    lines = tree.splitlines()
+    expand = [i for i, ln in enumerate(lines) if "Expand" in ln]
+    assert len(expand) == 1, tree
+    # in the printed tree children come after parents: a HashAggregate must
+    # sit below the Expand, i.e. the distinct counts see reduced rows
+    assert any("HashAggregate" in ln for ln in lines[expand[0] + 1:]), tree
+    assert any("Scan parquet" in ln for ln in lines[expand[0] + 1:])
