@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from panelcast.sources.tables import read_table
 
 
@@ -21,7 +23,20 @@ def op7_token_counts(spark, sf_dir):
                         fresh_cache(spark), limit=512)
 
 
+def op8_simhash(spark, sf_dir):
+    from panelcast.llm.simhash import near_duplicates
+    return near_duplicates(read_table(spark, sf_dir, "documents"), words=4, max_bits=4)
+
+
+def op9_substring_dedup(spark, sf_dir):
+    from panelcast.llm.substring_dedup import remove_repeats
+    return (remove_repeats(read_table(spark, sf_dir, "documents"), window=35)
+            .select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")))
+
+
 REGISTRY = {
     "op1_packing": (op1_packing, None),
     "op7_token_counts": (op7_token_counts, None),
+    "op8_simhash": (op8_simhash, None),
+    "op9_substring_dedup": (op9_substring_dedup, None),
 }

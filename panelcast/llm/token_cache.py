@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+import types
 
 import numpy as np
 
@@ -23,20 +25,26 @@ _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _PLAIN = re.compile(rf"[{_LETTERS}0-9!-&(-/:;=?@\[-`{{}}~]+")
 _PIECES = re.compile(rf"[{_LETTERS}]+|[0-9]|[^{_LETTERS}0-9]+")
 
-_STATE: dict = {}
+
+
+def _state() -> dict:
+    """What this worker process keeps between tasks. The package's functions
+    are shipped by value, so the dictionary hangs on a module of its own."""
+    return vars(sys.modules.setdefault("panelcast_worker_state", types.ModuleType("panelcast_worker_state")))
 
 
 def load_tokenizer(path: str):
     """The tokenizer of a file, loaded once per process; no threads of its own."""
-    if ("tokenizer", path) not in _STATE:
+    held = _state()
+    if f"tokenizer {path}" not in held:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        _STATE["tokenizer", path] = Tokenizer.from_file(path)
-    return _STATE["tokenizer", path]
+        held[f"tokenizer {path}"] = Tokenizer.from_file(path)
+    return held[f"tokenizer {path}"]
 
 
 def _cache(kind: str, path: str, limit: int, coming: int) -> dict:
-    c = _STATE.setdefault((kind, path), {})
+    c = _state().setdefault(f"{kind} {path}", {})
     if len(c) + coming > limit:
         c.clear()
     return c
