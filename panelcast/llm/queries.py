@@ -34,9 +34,35 @@ def op9_substring_dedup(spark, sf_dir):
             .select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")))
 
 
+def op3_license_scan(spark, sf_dir):
+    from panelcast.llm.license_scan import scan
+    return scan(read_table(spark, sf_dir, "documents"), threshold=(9, 10))
+
+
+def op6_url_filter(spark, sf_dir):
+    from panelcast.llm.url_filter import url_verdicts
+    return url_verdicts(read_table(spark, sf_dir, "pages"))
+
+
+def op6_sql():
+    from panelcast.llm.url_filter import verdict_sql
+    return verdict_sql()
+
+
+def op10_toxicity(spark, sf_dir):
+    from panelcast.llm.toxicity import fit_on_tables, score_documents
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_on_tables(docs, read_table(spark, sf_dir, "labels"), train_docs=1000)
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    return score_documents(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 REGISTRY = {
     "op1_packing": (op1_packing, None),
+    "op3_license_scan": (op3_license_scan, None),
+    "op6_url_filter": (op6_url_filter, op6_sql()),
     "op7_token_counts": (op7_token_counts, None),
     "op8_simhash": (op8_simhash, None),
     "op9_substring_dedup": (op9_substring_dedup, None),
+    "op10_toxicity": (op10_toxicity, None),
 }
