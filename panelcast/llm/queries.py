@@ -34,6 +34,11 @@ def op9_substring_dedup(spark, sf_dir):
             .select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")))
 
 
+def op2_spotsigs(spark, sf_dir):
+    from panelcast.llm.spotsigs import edited_fingerprints
+    return edited_fingerprints(read_table(spark, sf_dir, "documents"), chain=2)
+
+
 def op3_license_scan(spark, sf_dir):
     from panelcast.llm.license_scan import scan
     return scan(read_table(spark, sf_dir, "documents"), threshold=(9, 10))
@@ -59,6 +64,7 @@ def op10_toxicity(spark, sf_dir):
 
 REGISTRY = {
     "op1_packing": (op1_packing, None),
+    "op2_spotsigs": (op2_spotsigs, None),
     "op3_license_scan": (op3_license_scan, None),
     "op6_url_filter": (op6_url_filter, op6_sql()),
     "op7_token_counts": (op7_token_counts, None),
