@@ -44,6 +44,16 @@ def op3_license_scan(spark, sf_dir):
     return scan(read_table(spark, sf_dir, "documents"), threshold=(9, 10))
 
 
+def op4_line_dedup(spark, sf_dir):
+    from panelcast.llm.line_dedup import line_classes
+    return line_classes(read_table(spark, sf_dir, "documents"), edits=2, min_chars=20)
+
+
+def op5_decontamination(spark, sf_dir):
+    from panelcast.llm.decontaminate import contamination
+    return contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op6_url_filter(spark, sf_dir):
     from panelcast.llm.url_filter import url_verdicts
     return url_verdicts(read_table(spark, sf_dir, "pages"))
@@ -66,6 +76,8 @@ REGISTRY = {
     "op1_packing": (op1_packing, None),
     "op2_spotsigs": (op2_spotsigs, None),
     "op3_license_scan": (op3_license_scan, None),
+    "op4_line_dedup": (op4_line_dedup, None),
+    "op5_decontamination": (op5_decontamination, None),
     "op6_url_filter": (op6_url_filter, op6_sql()),
     "op7_token_counts": (op7_token_counts, None),
     "op8_simhash": (op8_simhash, None),

@@ -233,3 +233,14 @@ def near_duplicates(docs: DataFrame, words: int = 4, max_bits: int = 4, seed: in
         "fp", F.coalesce("least", "first").alias("component_id"))
     return (fps.join(label, "fp")
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
+
+
+def keep_one(docs: DataFrame, words: int = 4, max_bits: int = 4) -> DataFrame:
+    """The rows of ``docs``, all columns, of one document of each component: the
+    one with the smallest doc_id. Of rows repeated with that id one stays; rows
+    without an id stay unless a component of theirs has an id, one for each text."""
+    d = near_duplicates(docs, words, max_bits)
+    stay = d.select(F.col("component_id").alias("_keep")).distinct()
+    rows = docs.withColumn("_t", F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.lit(0).cast("long")))
+    return (rows.join(stay, F.col("doc_id").cast("long").eqNullSafe(F.col("_keep")), "left_semi")
+            .dropDuplicates(["doc_id", "_t"]).select(*docs.columns))

@@ -368,16 +368,10 @@ def fit_on_tables(docs: DataFrame, labels: DataFrame, train_docs: int = 1000) ->
     return fit(rows["text"].fillna("").tolist(), rows["toxic"].astype(int).tolist())
 
 
-def score_documents(docs: DataFrame, model: Model | None, block_chars: int = 1_000_000) -> DataFrame:
-    """All columns of ``docs`` and, added or replaced, ``score`` and ``predicted``.
-
-    The score is the logistic of the highest window logit over the decision
-    point. Null text counts as empty (one empty window); without a model (no
-    labels of one class) every score is 0; repeated rows get equal scores; an
-    empty table gives an empty result.
-    """
-    from pyspark.sql.functions import pandas_udf
-
+def scorer(model: Model | None, block_chars: int = 1_000_000):
+    """pandas UDF from texts to scores: the logistic of the highest window
+    logit over the decision point. Null text counts as empty (one empty
+    window); without a model (no labels of one class) every score is 0."""
     def score(text: pd.Series) -> pd.Series:
         if model is None:
             return pd.Series(np.zeros(len(text)))
@@ -392,6 +386,16 @@ def score_documents(docs: DataFrame, model: Model | None, block_chars: int = 1_0
         z = np.array(out, np.float64) - float(model.shift)
         return pd.Series(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
-    udf = pandas_udf(score, "double")
-    return (docs.withColumn("score", udf(F.col("text")))
+    return F.pandas_udf(score, "double")
+
+
+def score_documents(docs: DataFrame, model: Model | None) -> DataFrame:
+    """doc_id, score and predicted (1 from a score of 0.5) of every row; repeated
+    rows get equal scores, an empty table an empty result."""
+    return (docs.select("doc_id", scorer(model)(F.col("text")).alias("score"))
             .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
+
+
+def keep_clean(docs: DataFrame, model: Model | None) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose score is below 0.5."""
+    return docs.where(scorer(model)(F.col("text")) < 0.5)
