@@ -138,9 +138,15 @@ def regions(texts: list[bytes], windows: Windows) -> list[list[tuple[int, int, i
     full = counts + np.append(follow, 0)
     lone = np.concatenate(([True], band[1:] != band[:-1] + 1))  # hits of the first half alone: the band before
     need = windows.need[band >> 40]
+    order = np.argsort(key, kind="stable")
+    sorted_key, sorted_place = key[order], place[order]
     for k in np.flatnonzero((full >= need) | (lone & (counts >= need))).tolist():
         w, e = int(band[k] >> 40), int(edits[band[k] >> 40])
         pattern, m = windows.text[w], len(windows.text[w])
+        # the lemma counts q-grams of the window: a place hit twice counts once
+        i, j = np.searchsorted(sorted_key, [band[k], band[k] + 2])
+        if len(set(sorted_place[i:j].tolist())) < need[k]:
+            continue
         low = (int(band[k]) & ((1 << 40) - 1)) * (e + 1) - reach
         start, end = max(0, low - e), min(len(data), low + 2 * (e + 1) + m + e)
         d = max(0, int(np.searchsorted(starts, start, "right")) - 1)
