@@ -94,7 +94,7 @@ class ForecastConfig:
                 >= self.test_start > self.train_end >= self.train_start):
             raise ValueError("dates must satisfy train <= test < prediction, in order")
         if (self.prediction_start - self.test_end).days < 1:
-            raise ValueError("Prediction interval must start immediately after validation period")
+            raise ValueError("prediction_start must be later than test_end")
 
 
 # Standard date parameters for the supplied test tables (FIXTURES.md section 3).

@@ -199,6 +199,16 @@ def share_long(data: DataFrame, features=SHARE_FEATURES, target: str = "sales",
     return out
 
 
+def _named(c: str) -> Column:
+    """A column by its literal name, whatever signs (dots, backticks) are in it."""
+    return F.col("`" + c.replace("`", "``") + "`")
+
+
+def fill_columns(df: DataFrame, index, columns) -> DataFrame:
+    """``index`` and ``columns``, NULL as 0 in the latter (names may hold any signs)."""
+    return df.select(*index, *[F.coalesce(_named(c), F.lit(0.0)).alias(c) for c in columns])
+
+
 def pivot_shares(data: DataFrame, column: str, index=("year_month", *KEYS), value: str = "sales",
                  agg: str = "sum", normalize: bool = True, values=None) -> DataFrame:
     """Pivot `column` over `index`, fill 0, divide by the row total
@@ -207,11 +217,10 @@ def pivot_shares(data: DataFrame, column: str, index=("year_month", *KEYS), valu
     g = data.dropna(subset=idx).withColumn(column, F.coalesce(F.col(column).cast("string"), F.lit("nan")))
     p = g.groupBy(*idx).pivot(column, values).agg({value: agg})
     vcols = [c for c in p.columns if c not in idx]
-    p = p.fillna(0.0, subset=vcols)
+    p = fill_columns(p, idx, vcols)
     if normalize and vcols:
-        total = vcols and sum((F.col(f"`{c}`") for c in vcols[1:]), F.col(f"`{vcols[0]}`"))
-        p = p.withColumn("__tot", total).withColumns(
-            {c: F.try_divide(F.col(f"`{c}`"), F.col("__tot")) for c in vcols}).drop("__tot")
+        total = sum((_named(c) for c in vcols[1:]), _named(vcols[0]))
+        p = p.select(*idx, *[F.try_divide(_named(c), total).alias(c) for c in vcols])
     return p
 
 
@@ -227,7 +236,7 @@ def categorical_features(data: DataFrame, features=SHARE_FEATURES, target: str =
     named = long.select(*idx, F.concat(F.col("value"), F.lit("_"), F.col("feature")).alias("__name"), "share")
     wide = named.groupBy(*idx).pivot("__name").agg(F.first("share"))
     vcols = [c for c in wide.columns if c not in idx]
-    return wide.fillna(0.0, subset=vcols)
+    return fill_columns(wide, idx, vcols)
 
 
 # ---------------------------------------------------------------- O11 / O12

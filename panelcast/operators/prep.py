@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelcast.config import ForecastConfig, KEYS
+from panelcast.session import cut_lineage
 
 
 def train_columns(columns, except_cols) -> list[str]:
@@ -32,10 +33,12 @@ def group_offsets(sizes: DataFrame, keys, n_col: str = "__n", buckets: int | Non
     """Exclusive prefix sum of `n_col` over rows ordered by `keys`, without
     moving the table into one task: range-partition by the keys, total each
     range partition (one row per partition, a bounded table), prefix-sum those
-    totals, and add the running sum inside each range partition."""
+    totals, and add the running sum inside each range partition. The dealt
+    table is written once before its partition numbers are read twice: two
+    evaluations could sample different range bounds."""
     spark = sizes.sparkSession
     nb = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    b = sizes.repartitionByRange(nb, *keys).withColumn("__b", F.spark_partition_id())
+    b = cut_lineage(sizes.repartitionByRange(nb, *keys).withColumn("__b", F.spark_partition_id()))
     bt = b.groupBy("__b").agg(F.sum(n_col).alias("__bn"))
     bo = bt.withColumn("__boff", F.coalesce(F.sum("__bn").over(
         Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
@@ -79,7 +82,6 @@ def target_encode_oof(train: DataFrame, others: dict[str, DataFrame], cols, targ
     k encoders. The fitted statistics are per (level, fold): tiny tables.
 
     Returns (train_encoded, {name: frame_encoded}, encoder_table)."""
-    from panelcast.session import cut_lineage
     tr = cut_lineage(contiguous_folds(train, n_folds, keys))
     y = F.col(target)
     folds = tr.groupBy("fold").agg(F.sum(y).alias("__sf"), F.count(y).alias("__nf"))

@@ -120,6 +120,6 @@ def score_results(results: DataFrame, cfg: ForecastConfig = FIXTURE_CONFIG) -> d
     return {
         "by_period": M.score_by(scored, ["prediction_period"], cols),
         "by_group": M.score_by(scored, list(cfg.keys), cols, round_to=1),
-        "mape_by_group": M.mape_by_group(results, models, cfg.target, cfg.keys),
+        "mape_by_group": M.mape_by_group(filt, models, cfg.target, cfg.keys),
         "totals": M.column_totals(results, [cfg.target, *models.values()]),
     }

@@ -594,11 +594,11 @@ def q_by_group(spark, sf):
     return M.score_by(_scored(spark, sf), K, APE_COLS, round_to=1)
 
 
-@register("o58_mape_by_group", sql(BT, f"SELECT {O.K}, " + ", ".join(
-    f"AVG({_ape(c)}) * 100 AS mape_{n}" for n, c in BT_MODELS.items()) + f" FROM res GROUP BY {O.K}",
+@register("o58_mape_by_group", sql(BT + "," + WEIGHTED, f"SELECT {O.K}, " + ", ".join(
+    f"AVG({_ape(c)}) * 100 AS mape_{n}" for n, c in BT_MODELS.items()) + f" FROM fres GROUP BY {O.K}",
     [f"mape_{n}" for n in BT_MODELS]))
 def q_mape_group(spark, sf):
-    return M.mape_by_group(_bt_results(spark, sf), BT_MODELS)
+    return M.mape_by_group(M.day_share_weight(_bt_results(spark, sf)), BT_MODELS)
 
 
 @register("o59_column_totals", sql(BT, "SELECT " + ", ".join(f"SUM({c}) AS total_{c}" for c in RES_DBL) + " FROM res",

@@ -21,10 +21,8 @@ def write_predictions(df: DataFrame, path: str, fmt: str = "csv") -> None:
 def append_results(df: DataFrame, path: str) -> None:
     """Append one fold's results; partitioned by period so re-runs of a fold
     replace only that fold (dynamic partition overwrite)."""
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     (df.withColumn("prediction_period", F.col("prediction_period").cast("date"))
-       .write.mode("overwrite").partitionBy("prediction_period").parquet(path))
+       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("prediction_period").parquet(path))
 
 
 def read_results(spark: SparkSession, path: str) -> DataFrame:

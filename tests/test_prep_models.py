@@ -86,3 +86,28 @@ def test_tree_export_matches_mllib(spark):
     X = np.array([r["features"].toArray() for r in got])
     ours = predict(export_ensemble(m), X)
     assert np.allclose(ours, [r["prediction"] for r in got], rtol=0, atol=1e-9)
+
+
+def test_group_offsets_without_exchange_reuse(spark):
+    """Both uses of the range partitions must see the same partitions."""
+    from pyspark.sql import functions as F
+    from panelcast.operators import prep as PR
+    old = spark.conf.get("spark.sql.exchange.reuse")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        keys = spark.range(150_000).select(F.xxhash64("id").alias("k"), F.lit(1).alias("__n"))
+        offs = PR.group_offsets(keys, ["k"], buckets=7)
+        rows = [r["__offset"] for r in offs.orderBy("k").select("__offset").collect()]
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", old)
+    assert rows == list(range(150_000))
+
+
+def test_pivot_names_with_any_signs(spark):
+    import datetime as dt
+    from panelcast.operators.features import pivot_shares
+    rows = [(dt.date(2020, 1, 1), "a", "b", v, 1.0) for v in ("16.0", "x`y", "two words", "p,q")]
+    df = spark.createDataFrame(rows, "year_month date, hierarchy1_id string, storetype_id string, promo string, sales double")
+    out = pivot_shares(df, "promo").collect()
+    assert len(out) == 1
+    assert all(abs(out[0][v] - 0.25) < 1e-12 for v in ("16.0", "x`y", "two words", "p,q"))
