@@ -55,8 +55,6 @@ class ForecastConfig:
     weight_cutoff_year: int = 2000
     # Recursive forecast: True replays the reference's state update.
     compat: bool = False
-    # 'grouped': one job, numpy trees per group; 'daily': one Spark step per day
-    recursion_engine: str = "grouped"
     share_features: tuple[str, ...] = SHARE_FEATURES
     except_cols: tuple[str, ...] = EXCEPT_COLS
     n_folds: int = 3

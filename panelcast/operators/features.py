@@ -86,19 +86,6 @@ def prior_year_columns(target: str = "sales", keys=KEYS, specs=PRIOR_YEAR_SPECS)
     return out
 
 
-def add_prior_year_features(panel: DataFrame, target: str = "sales", keys=KEYS) -> DataFrame:
-    return panel.withColumns(prior_year_columns(target, keys))
-
-
-def prior_year_totals_table(panel: DataFrame, period: str, name: str,
-                            target: str = "sales", keys=KEYS) -> DataFrame:
-    """O22 as a table: (year+1, period, K) -> total (the join-based form)."""
-    return (panel.dropna(subset=list(keys))
-                 .groupBy("year", period, *keys)
-                 .agg(F.coalesce(F.sum(target), F.lit(0.0)).alias(name))
-                 .withColumn("year", F.col("year") + 1))
-
-
 # ---------------------------------------------------------------- O28 / O29
 def to_date_columns(target: str = "sales", keys=KEYS) -> dict[str, Column]:
     """Running sum within (K, period) excluding the row itself."""
@@ -126,51 +113,27 @@ def first_row_per_group(df: DataFrame, keys=KEYS, order: str = "date") -> DataFr
 
 # ---------------------------------------------------------------- O21
 PRODUCT_STAT_COLUMNS = ("product_length", "product_depth", "product_width", "store_size", "price")
-# Fixed-point scale of the mean of each attribute: sums are taken over
-# rounded integers, so the mean does not depend on summation order (floating
-# sums differ run to run with partitioning). 1e4 keeps a billion-row group
-# far from long overflow.
-MEAN_SCALE = {"store_size": 100.0, "price": 10000.0}
-
-
-def fixed_point_mean(c: str, scale: float | None) -> Column:
-    if not scale:
-        return F.avg(c)
-    s = F.sum(F.round(F.col(c) * F.lit(scale)).cast("long")).cast("double")
-    return F.try_divide(s, F.count(c)) / F.lit(scale)
 
 
 def product_features(data: DataFrame, keys=KEYS, shift: int = 1) -> DataFrame:
     """Per (K, year_month): distinct products and stores, min/mean/max of
     size and price attributes over transaction rows; attached to the next month.
 
-    Two levels: first one row per (K, month, product, store) with min, max,
-    sum and count of every attribute (map-side combined), then the month
-    level combines those and counts distinct products and stores on the
-    reduced table. The exact distinct counts thus expand the reduced rows,
-    not the fact rows, and means stay sums over transaction rows."""
-    k = list(keys)
-    attrs = ("product_length", "product_depth", "product_width", "store_size", "price")
-
-    def summable(c):
-        scale = MEAN_SCALE.get(c)
-        return F.round(F.col(c) * F.lit(scale)).cast("long") if scale else F.col(c)
-
-    lvl1 = data.dropna(subset=[*k, "year_month"]).groupBy(*k, "year_month", "product_id", "store_id").agg(
-        *[a for c in attrs for a in (F.min(c).alias(f"{c}__min"), F.max(c).alias(f"{c}__max"),
-                                     F.sum(summable(c)).alias(f"{c}__sum"), F.count(c).alias(f"{c}__n"))])
-
-    def mean(c):
-        s = F.try_divide(F.sum(f"{c}__sum").cast("double"), F.sum(f"{c}__n"))
-        return s / F.lit(MEAN_SCALE[c]) if c in MEAN_SCALE else s
-
-    aggs = [F.count_distinct("product_id").alias("number_of_products")]
-    for c in ("product_length", "product_depth", "product_width"):
-        aggs += [F.min(f"{c}__min").alias(f"{c}_min"), mean(c).alias(f"{c}_mean"), F.max(f"{c}__max").alias(f"{c}_max")]
-    aggs.append(F.count_distinct("store_id").alias("number_of_stores"))
-    for c in ("store_size", "price"):
-        aggs += [F.min(f"{c}__min").alias(f"{c}_min"), mean(c).alias(f"{c}_mean"), F.max(f"{c}__max").alias(f"{c}_max")]
-    out = lvl1.groupBy(*k, "year_month").agg(*aggs)
+    The statistics are one aggregate that combines map-side to one row per
+    group and month. The exact distinct counts run on two narrow ``distinct``
+    tables, so no row is expanded and no wide buffer is shuffled per product."""
+    idx = [*keys, "year_month"]
+    data = data.dropna(subset=idx)
+
+    def stats(c):
+        return [F.min(c).alias(f"{c}_min"), F.avg(c).alias(f"{c}_mean"), F.max(c).alias(f"{c}_max")]
+
+    def number(c, name):
+        return data.select(*idx, c).distinct().groupBy(*idx).agg(F.count(c).alias(name))
+
+    out = (data.groupBy(*idx).agg(*[a for c in PRODUCT_STAT_COLUMNS for a in stats(c)])
+               .join(number("product_id", "number_of_products"), idx)
+               .join(number("store_id", "number_of_stores"), idx))
     return out.withColumn("year_month", shift_year_month("year_month", shift))
 
 
@@ -274,8 +237,11 @@ def panel_features(panel: DataFrame, cfg: ForecastConfig) -> DataFrame:
 
 def build_feature_matrix(data: DataFrame, panel: DataFrame, cfg: ForecastConfig) -> DataFrame:
     feats = panel_features(panel, cfg)
-    cat = categorical_features(data, cfg.share_features, cfg.target, cfg.keys)
-    prod = product_features(data, cfg.keys)
+    # Monthly features are looked up by the next month, so a prediction window
+    # that crosses a month must not see its own first days: rows end at test_end.
+    known = data.where(F.col("date") <= F.lit(cfg.test_end).cast("date"))
+    cat = categorical_features(known, cfg.share_features, cfg.target, cfg.keys)
+    prod = product_features(known, cfg.keys)
     return assemble_features(feats, cat, prod, cfg.keys)
 
 

@@ -157,23 +157,35 @@ def sort_panel(df: DataFrame, keys=KEYS) -> DataFrame:
     return df.orderBy(*keys, "date")
 
 
-def completeness_report(df: DataFrame, horizon: int, keys=KEYS) -> DataFrame:
-    """One row with rows, groups, expected = groups x horizon, ok flag."""
-    return (df.agg(F.count(F.lit(1)).alias("n_rows"),
-                   F.count_distinct(*keys).alias("n_groups"))
-              .withColumn("expected_rows", F.col("n_groups") * F.lit(horizon))
-              .withColumn("complete", F.col("n_rows") == F.col("expected_rows")))
-
-
-def group_gap_report(df: DataFrame, horizon: int, keys=KEYS) -> DataFrame:
-    """O19 per group: groups whose row count differs from the horizon."""
-    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
-              .where(F.col("n_rows") != horizon)
-              .withColumn("expected_rows", F.lit(horizon).cast("bigint")))
-
-
-def assert_complete(df: DataFrame, horizon: int, what: str, keys=KEYS) -> None:
-    """Raise like the reference when groups x days != rows (one tiny action)."""
-    r = completeness_report(df, horizon, keys).first()
+def completeness_report(df: DataFrame, horizon: int, groups: DataFrame, keys=KEYS) -> DataFrame:
+    """One row with rows and groups found, the groups of ``groups`` (one
+    row each) that are expected and that are missing, expected = groups x
+    horizon, and whether all are there."""
+    k = list(keys)
+    found = df.groupBy(*k).agg(F.count(F.lit(1)).alias("__n"))
+    both = found.join(groups.select(*k, F.lit(True).alias("__expected")), k, "full")
+    rows = F.coalesce(F.col("__n"), F.lit(0))
+    return (both.agg(F.coalesce(F.sum(rows), F.lit(0)).alias("n_rows"), F.count("__n").alias("n_groups"),
+                     F.count("__expected").alias("expected_groups"),
+                     F.count_if(F.col("__n").isNull()).alias("missing_groups"),
+                     F.count_if(F.col("__expected").isNull() | (rows != horizon)).alias("__bad"))
+                .withColumn("expected_rows", F.col("expected_groups") * F.lit(horizon))
+                .withColumn("complete", F.col("__bad") == 0).drop("__bad"))
+
+
+def group_gap_report(df: DataFrame, horizon: int, groups: DataFrame, keys=KEYS) -> DataFrame:
+    """O19 per expected group: those whose row count differs from the horizon."""
+    k = list(keys)
+    found = df.groupBy(*k).agg(F.count(F.lit(1)).alias("n_rows"))
+    return (groups.select(*k).join(found, k, "left")
+                  .withColumn("n_rows", F.coalesce("n_rows", F.lit(0)))
+                  .where(F.col("n_rows") != horizon)
+                  .withColumn("expected_rows", F.lit(horizon).cast("bigint")))
+
+
+def assert_complete(df: DataFrame, horizon: int, what: str, groups: DataFrame, keys=KEYS) -> None:
+    """Raise unless ``df`` has ``horizon`` rows of every group of ``groups`` and no others (one tiny action)."""
+    r = completeness_report(df, horizon, groups, keys).first()
     if not r["complete"]:
-        raise RuntimeError(f"{what}: expected {r['expected_rows']} rows, received {r['n_rows']}")
+        raise RuntimeError(f"{what}: expected {r['expected_rows']} rows of {r['expected_groups']} groups, "
+                           f"received {r['n_rows']} of {r['n_groups']}")

@@ -13,7 +13,7 @@ from panelcast.operators import features as FE
 from panelcast.operators import baselines as BL
 from panelcast.operators import metrics as M
 from panelcast.operators import models as MD
-from panelcast.operators.recursive import recursive_forecast, recursive_forecast_grouped
+from panelcast.operators.recursive import recursive_forecast
 from panelcast.sources.tables import joined_sales
 from panelcast.sources.sinks import write_predictions
 from panelcast.session import cut_lineage
@@ -47,21 +47,21 @@ def run_forecast(data: DataFrame, cfg: ForecastConfig, output_path: str | None =
         if cfg.use_trend_feature else None
     md = MD.create_datasets(matrix, cfg, fb)
     model = MD.train_gbt(md, cfg)
-    if cfg.recursion_engine == "grouped":
-        lgb = recursive_forecast_grouped(model, md.predict, panel, md.feature_cols, cfg)
-    else:
-        lgb = recursive_forecast(model, md.predict, panel, md.feature_cols, cfg)
+    groups = P.distinct_groups(md.predict, cfg.keys)
+    lgb = recursive_forecast(model, md.predict, panel, md.feature_cols, cfg)
     actual = md.predict.select("date", *cfg.keys, cfg.target)
     # groups x horizon rows each: materialise once, so the completeness checks
     # and the blend do not run the recursion / baselines a second time
     lgb = cut_lineage(lgb.join(actual, ["date", *cfg.keys], "left")
                          .select("date", *cfg.keys, cfg.target, "predicted"))
     if check:
-        P.assert_complete(lgb, cfg.horizon, "recursive predictions", cfg.keys)
+        P.assert_complete(lgb, cfg.horizon, "recursive predictions", groups, cfg.keys)
     base = cut_lineage(BL.baseline_models(panel, cfg))
     if check:
-        P.assert_complete(base, cfg.horizon, "baseline predictions", cfg.keys)
-    merged = MD.combine_results(lgb, base, cfg.keys)
+        P.assert_complete(base, cfg.horizon, "baseline predictions", groups, cfg.keys)
+    merged = cut_lineage(MD.combine_results(lgb, base, cfg.keys))
+    if check:
+        P.assert_complete(merged, cfg.horizon, "blended predictions", groups, cfg.keys)
     if output_path:
         write_predictions(merged, output_path)
     return ForecastResult(panel, matrix, model, md.feature_cols, lgb, base, merged, md)

@@ -153,9 +153,7 @@ def product_cte() -> str:
     stats = []
     for c in ("product_length", "product_depth", "product_width"):
         stats.append(f"MIN({c}) AS {c}_min, AVG({c}) AS {c}_mean, MAX({c}) AS {c}_max")
-    stats2 = []
-    for c, sc in (("store_size", "100.0"), ("price", "10000.0")):
-        stats2.append(f"MIN({c}) AS {c}_min, CAST(SUM(CAST(ROUND({c} * {sc}) AS BIGINT)) AS DOUBLE) / COUNT({c}) / {sc} AS {c}_mean, MAX({c}) AS {c}_max")
+    stats2 = [f"MIN({c}) AS {c}_min, AVG({c}) AS {c}_mean, MAX({c}) AS {c}_max" for c in ("store_size", "price")]
     return f"""
 prod AS (
   SELECT {K}, {shift_ym('year_month')} AS year_month,

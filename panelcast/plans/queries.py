@@ -32,17 +32,20 @@ K = list(KEYS)
 
 
 SCALE = float(10 ** DIGITS)
+# Not one half: means of prices in cents often lie exactly between two rounded
+# values, where the last bit of a sum would decide. Hardly any value lies here.
+HALF = 0.50137
 
 
 def rounded(df: DataFrame, cols) -> DataFrame:
-    """floor(x * 1e4 + 0.5) / 1e4: the same IEEE steps as the SQL side, so
+    """floor(x * 1e4 + HALF) / 1e4: the same IEEE steps as the SQL side, so
     equal inputs give equal outputs (engine ROUND functions break ties
     differently). Applied only to results whose low bits depend on
     summation order or on the math library (regressions, sin/cos, logs)."""
     def r(c):
         x = F.col(f"`{c}`")
         return F.when(F.isnan(x) | (F.abs(x) == float("inf")), x) \
-                .otherwise(F.floor(x * F.lit(SCALE) + F.lit(0.5)).cast("double") / F.lit(SCALE))
+                .otherwise(F.floor(x * F.lit(SCALE) + F.lit(HALF)).cast("double") / F.lit(SCALE))
     ex = {c: r(c) for c in cols}
     return df.withColumns(ex) if ex else df
 
@@ -57,7 +60,7 @@ def sql(ctes: str, select: str, doubles=()) -> str:
     rep = ""
     if doubles:
         rep = " REPLACE (" + ", ".join(
-            f"CASE WHEN isnan({c}) OR isinf({c}) THEN {c} ELSE FLOOR({c} * {SCALE!r} + 0.5) / {SCALE!r} END AS {c}"
+            f"CASE WHEN isnan({c}) OR isinf({c}) THEN {c} ELSE FLOOR({c} * {SCALE!r} + {HALF!r}) / {SCALE!r} END AS {c}"
             for c in doubles) + ")"
     out = OracleSQL(f"WITH {ctes.strip().rstrip(',')},\nresult AS ({select})\nSELECT *{rep} FROM result")
     out.round_cols = tuple(c.strip('"') for c in doubles)
@@ -161,13 +164,16 @@ def q_concat(spark, sf):
                                   F.sum("sales").alias("total_sales"))
 
 
-@register("o19_check_completeness", sql(B, f"""SELECT COUNT(*) AS n_rows, COUNT(DISTINCT ({O.K})) AS n_groups,
-    COUNT(DISTINCT ({O.K})) * {C.horizon} AS expected_rows,
-    COUNT(*) = COUNT(DISTINCT ({O.K})) * {C.horizon} AS complete FROM pred"""))
+@register("o19_check_completeness", sql(B, f"""SELECT CAST(COALESCE(SUM(n), 0) AS BIGINT) AS n_rows, COUNT(n) AS n_groups,
+    COUNT(g) AS expected_groups, COUNT(*) - COUNT(n) AS missing_groups, COUNT(g) * {C.horizon} AS expected_rows,
+    COALESCE(BOOL_AND(g IS NOT NULL AND n IS NOT DISTINCT FROM {C.horizon}), TRUE) AS complete
+    FROM (SELECT {O.K}, COUNT(*) AS n FROM pred GROUP BY {O.K})
+    FULL JOIN (SELECT {O.K}, TRUE AS g FROM grp) USING ({O.K})"""))
 def q_complete(spark, sf):
     c = ctx(spark, sf)
     pred = P.filter_date_range(c.panel, C.prediction_start, C.prediction_end)
-    return P.completeness_report(pred, C.horizon)
+    test = P.filter_date_range(c.panel, C.test_start, C.test_end)
+    return P.completeness_report(pred, C.horizon, P.distinct_groups(test))
 
 
 # ---------------------------------------------------------------- calendar / scalar
@@ -394,14 +400,16 @@ SALES_COLS = ["date", "product_id", "store_id", "sales", "price", "promo_type_1"
               "promo_bin_2", "promo_discount_2", "promo_discount_type_2"]
 
 
+DIM_COLS = ["hierarchy1_id", "cluster_id", "product_length", "product_depth", "product_width", "storetype_id",
+            "city_id", "store_size"]
+
+
 @register("o03_column_profile", sql(B, "\nUNION ALL\n".join(
     f"SELECT '{c}' AS column_name, SUM(CAST({c} IS NULL AS BIGINT)) AS n_null, "
     f"COUNT(DISTINCT {c}) + MAX(CAST({c} IS NULL AS BIGINT)) AS n_distinct FROM joined" for c in
-    SALES_COLS + ["hierarchy1_id", "cluster_id", "product_length", "storetype_id", "city_id", "store_size"])))
+    SALES_COLS + DIM_COLS)))
 def q_profile(spark, sf):
-    j = ctx(spark, sf).joined
-    return NR.column_profile(j.select(*SALES_COLS, "hierarchy1_id", "cluster_id", "product_length",
-                                      "storetype_id", "city_id", "store_size"))
+    return NR.column_profile(ctx(spark, sf).joined.select(*SALES_COLS, *DIM_COLS))
 
 
 @register("o04_encode_category", sql(B, """SELECT 'hierarchy1_id' AS column_name, value,
@@ -543,12 +551,7 @@ def _ape(col, divide_first=True):
     f"AVG({_ape(c)}) * 100 AS mape_{n}" for n, c in BT_MODELS.items()) + " FROM res GROUP BY prediction_period",
     [f"mape_{n}" for n in BT_MODELS]))
 def q_mape(spark, sf):
-    r = _bt_results(spark, sf)
-    out = None
-    for n, c in BT_MODELS.items():
-        m = M.mape(r, "sales", c, by=["prediction_period"], alias=f"mape_{n}")
-        out = m if out is None else out.join(m, "prediction_period")
-    return out
+    return M.mape_by_group(_bt_results(spark, sf), BT_MODELS, keys=["prediction_period"])
 
 
 WEIGHTED = """wres AS (SELECT r.*, r.sales / NULLIF(t.tot + 1, 0) AS weight FROM res r
@@ -633,7 +636,7 @@ CATW = ", ".join("COALESCE(MAX(CASE WHEN feature = '%s' AND value = '%s' THEN sh
 @register("o11_assemble_features", sql(FEATS + "," + O.product_cte() + "," + O.share_cte() + f""",
 catf AS (SELECT year_month, {O.K}, {CATW} FROM shares GROUP BY year_month, {O.K})""",
     f"""SELECT * FROM feats LEFT JOIN catf USING (year_month, {O.K}) LEFT JOIN prod USING (year_month, {O.K})""",
-    CYC_COLS))
+    CYC_COLS + ["store_size_mean", "price_mean"]))
 def q_matrix(spark, sf):
     """The full feature matrix (panel features + previous-month shares
     and product statistics)."""
@@ -644,11 +647,9 @@ def q_matrix(spark, sf):
 from panelcast.operators import recursive as RC  # noqa: E402
 
 STEP_DAY = C.prediction_start + dt.timedelta(days=1)
-STEP_COLS = ["date", *K, "total_sales_last_1_days", "total_sales_last_2_days", "total_sales_last_28_days",
-             "week_sales_to_date", "month_sales_to_date", "percentage_sold_of_month", "percentage_sold_of_week",
+STEP_COLS = ["date", *K, *LAG_NAMES, "week_sales_to_date", "month_sales_to_date", "percentage_sold_of_month", "percentage_sold_of_week",
              "weekday", "week", "month", "year", *CYC_COLS]
-STEP_DBL = ["total_sales_last_1_days", "total_sales_last_2_days", "total_sales_last_28_days", "week_sales_to_date",
-            "month_sales_to_date", "percentage_sold_of_month", "percentage_sold_of_week", *CYC_COLS]
+STEP_DBL = [*LAG_NAMES, "week_sales_to_date", "month_sales_to_date", "percentage_sold_of_month", "percentage_sold_of_week", *CYC_COLS]
 
 
 def _step_sql() -> str:
@@ -660,9 +661,8 @@ def _step_sql() -> str:
              "quarter": f"quarter({dd})"}[c]
         cyc.append(f"sin(2.0 * pi() * CAST({v} AS DOUBLE) / {m}) AS {c}_sin, "
                    f"cos(2.0 * pi() * CAST({v} AS DOUBLE) / {m}) AS {c}_cos")
-    return f"""SELECT {dd} AS date, {O.K}, {p} AS total_sales_last_1_days,
-      total_sales_last_2_days - {p} + {p} AS total_sales_last_2_days,
-      total_sales_last_28_days - {p} + {p} AS total_sales_last_28_days,
+    totals = ", ".join(f"{p} AS {c}" if c == "total_sales_last_1_days" else f"{c} - {p} + {p} AS {c}" for c in LAG_NAMES)
+    return f"""SELECT {dd} AS date, {O.K}, {totals},
       CASE WHEN weekofyear({dd}) > week THEN 0.0 ELSE {p} END AS week_sales_to_date,
       CASE WHEN month({dd}) > month THEN 0.0 ELSE {p} END AS month_sales_to_date,
       (CASE WHEN month({dd}) > month THEN 0.0 ELSE {p} END) / NULLIF(avg_same_month_sales, 0) AS percentage_sold_of_month,
@@ -717,15 +717,35 @@ def q_recursive(spark, sf):
     return _forecast(spark, sf).lgb
 
 
-@register("o13_combine_results")
+BLEND_SQL = f"""SELECT p.date, p.hierarchy1_id, p.storetype_id, p.sales,
+    0.5 * sa.predicted_seasonal_average + 0.5 * tr.predicted_fbprophet AS lgb_predicted,
+    sa.predicted_seasonal_average, tr.predicted_fbprophet FROM pred p
+    JOIN sa ON p.date = sa.date AND p.hierarchy1_id = sa.hierarchy1_id AND p.storetype_id = sa.storetype_id
+    JOIN tr ON p.date = tr.date AND p.hierarchy1_id = tr.hierarchy1_id AND p.storetype_id = tr.storetype_id"""
+BLEND_DBL = ["lgb_predicted", "predicted_seasonal_average", "predicted_fbprophet"]
+
+
+def _blend(spark, sf):
+    """Join and blend with the seasonal average in the boosted model's place,
+    so that SQL can check them; the boosted forecasts are in O45 and O50."""
+    from panelcast.operators import models as MD
+    panel = ctx(spark, sf).panel
+    base = BL.baseline_models(panel, C)
+    actual = P.filter_date_range(panel, C.prediction_start, C.prediction_end).select("date", *K, "sales")
+    stand_in = actual.join(base.select("date", *K, F.col("predicted_seasonal_average").alias("predicted")), ["date", *K])
+    return MD.combine_results(stand_in, base, K)
+
+
+@register("o13_combine_results", sql(B + "," + SA_SQL + "," + TREND_SQL, BLEND_SQL, ["sales", *BLEND_DBL]))
 def q_combine(spark, sf):
-    return _forecast(spark, sf).merged
+    return _blend(spark, sf)
 
 
-@register("o49_blend_forecasts")
+@register("o49_blend_forecasts", sql(B + "," + SA_SQL + "," + TREND_SQL,
+                                     f"SELECT date, {O.K}, lgb_predicted, predicted_fbprophet FROM ({BLEND_SQL})",
+                                     ["lgb_predicted", "predicted_fbprophet"]))
 def q_blend(spark, sf):
-    m = _forecast(spark, sf).merged
-    return m.select("date", *K, "lgb_predicted", "predicted_fbprophet")
+    return _blend(spark, sf).select("date", *K, "lgb_predicted", "predicted_fbprophet")
 
 
 @register("o50_forecast_run")
@@ -741,7 +761,7 @@ def q_train_cols(spark, sf):
     return spark.createDataFrame([(i, c) for i, c in enumerate(cols)], "position int, column_name string")
 
 
-@register("o63_sort_panel")
+@register("o63_sort_panel", sql(B, "SELECT * FROM panel", ["sales"]))
 def q_sorted(spark, sf):
     return P.sort_panel(ctx(spark, sf).panel)
 
@@ -771,7 +791,7 @@ def q_write(spark, sf):
                                  "lgb_predicted double")
 
 
-@register("o06_results_roundtrip")
+@register("o06_results_roundtrip", sql(BT, "SELECT * FROM res", RES_DBL))
 def q_results(spark, sf):
     """Backtest results appended per period, re-read with parsed dates."""
     from panelcast.sources.sinks import append_results, read_results

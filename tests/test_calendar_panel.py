@@ -103,9 +103,10 @@ def test_completeness_report(spark):
     schema = "date date, hierarchy1_id string, storetype_id string, sales double"
     df = spark.createDataFrame([(D(2019, 1, 13), "a", "s", 1.0), (D(2019, 1, 14), "a", "s", 1.0),
                                 (D(2019, 1, 13), "b", "s", 1.0)], schema)
-    r = P.completeness_report(df, cfg.horizon).first()
+    groups = P.distinct_groups(df)
+    r = P.completeness_report(df, cfg.horizon, groups).first()
     assert (r["n_rows"], r["n_groups"], r["expected_rows"], r["complete"]) == (3, 2, 4, False)
-    assert P.group_gap_report(df, cfg.horizon).first()["hierarchy1_id"] == "b"
+    assert P.group_gap_report(df, cfg.horizon, groups).first()["hierarchy1_id"] == "b"
 
 
 def test_shares_null_value_and_zero_total(spark):
@@ -150,6 +151,14 @@ def test_assert_complete_raises(spark):
     import pytest
     schema = "date date, hierarchy1_id string, storetype_id string, sales double"
     df = spark.createDataFrame([(D(2019, 1, 13), "a", "s", 1.0), (D(2019, 1, 13), "b", "s", 1.0)], schema)
-    with pytest.raises(RuntimeError, match="expected 4 rows, received 2"):
-        P.assert_complete(df, 2, "recursive predictions")
-    P.assert_complete(df, 1, "recursive predictions")
+    groups = P.distinct_groups(df)
+    with pytest.raises(RuntimeError, match="expected 4 rows of 2 groups, received 2 of 2"):
+        P.assert_complete(df, 2, "recursive predictions", groups)
+    P.assert_complete(df, 1, "recursive predictions", groups)
+    # a group that is wholly missing, or one that nobody expects, is an error too
+    with pytest.raises(RuntimeError, match="expected 2 rows of 2 groups, received 1 of 1"):
+        P.assert_complete(df.where("hierarchy1_id = 'a'"), 1, "blended predictions", groups)
+    with pytest.raises(RuntimeError):
+        P.assert_complete(df, 1, "blended predictions", groups.where("hierarchy1_id = 'a'"))
+    gap = P.group_gap_report(df.where("hierarchy1_id = 'a'"), 1, groups).collect()
+    assert [(r["hierarchy1_id"], r["n_rows"]) for r in gap] == [("b", 0)]

@@ -17,7 +17,8 @@ TABLES = ["region", "nation", "supplier", "part", "lineitem"]
 CHECK = ["o07_star_join", "o20_daily_panel", "o10_zero_fill", "o26_gap_aware_lag", "o27_rolling_totals",
          "o22b_prior_year_week", "o28_period_to_date", "o24_categorical_features", "o21_product_features",
          "o33_cyclic_encoding", "o40_target_encode_oof", "o47_seasonal_average", "o46a_linear_trend",
-         "o44_advance_state", "o52_backtest_baselines", "o57_score_by_group", "o02_narrow_schema"]
+         "o44_advance_state", "o52_backtest_baselines", "o57_score_by_group", "o02_narrow_schema",
+         "o19_check_completeness", "o13_combine_results", "o06_results_roundtrip", "o03_column_profile"]
 
 
 def _digest(cols, rows):
@@ -81,10 +82,11 @@ def _small_model(spark, cfg):
 def test_recursive_engines_agree(spark, compat, mode):
     from panelcast.config import FIXTURE_CONFIG
     from panelcast.operators import recursive as R
+    from recursion_reference import recursive_forecast_grouped
     cfg = replace(FIXTURE_CONFIG, compat=compat, lag_mode=mode)
     m, md, panel = _small_model(spark, cfg)
     a = R.recursive_forecast(m, md.predict, panel, md.feature_cols, cfg).toPandas()
-    b = R.recursive_forecast_grouped(m, md.predict, panel, md.feature_cols, cfg).toPandas()
+    b = recursive_forecast_grouped(m, md.predict, panel, md.feature_cols, cfg).toPandas()
     groups = md.predict.select("hierarchy1_id", "storetype_id").distinct().count()
     assert len(a) == len(b) == groups * cfg.horizon
     j = a.merge(b, on=["date", "hierarchy1_id", "storetype_id"])

@@ -54,13 +54,26 @@ def test_baselines_one_exchange_per_model(spark):
     assert "Join" not in sa and "Join" not in tr
 
 
-def test_product_stats_expand_after_first_aggregate(spark):
+def test_product_stats_without_expand(spark):
     data = P.prepare_data(joined_sales(spark, SF001, C.train_start, C.prediction_end), C)
-    tree = _tree(FE.product_features(data))
-    lines = tree.splitlines()
-    expand = [i for i, ln in enumerate(lines) if "Expand" in ln]
-    assert len(expand) == 1, tree
-    # in the printed tree children come after parents: a HashAggregate must
-    # sit below the Expand, i.e. the distinct counts see reduced rows
-    assert any("HashAggregate" in ln for ln in lines[expand[0] + 1:]), tree
-    assert any("Scan parquet" in ln for ln in lines[expand[0] + 1:])
+    got = FE.product_features(data)
+    assert "Expand" not in _tree(got)
+    assert got.count() == data.select("hierarchy1_id", "storetype_id", "year_month").distinct().count()
+
+
+def test_monthly_features_end_before_the_prediction_window(spark):
+    """A window that crosses a month: its own first days must not change its features."""
+    import datetime as dt
+    cfg = C.with_dates(test_start=dt.date(2001, 4, 30), test_end=dt.date(2001, 5, 30), train_end=dt.date(2001, 4, 29),
+                       prediction_start=dt.date(2001, 5, 31), prediction_end=dt.date(2001, 6, 30))
+    data = P.prepare_data(joined_sales(spark, SF001, cfg.train_start, cfg.prediction_end), cfg)
+    panel = cut_lineage(P.build_panel(data, cfg))
+    cols = ["number_of_products", "price_mean", "A_promo_type_1"]
+
+    def june(rows):
+        m = FE.build_feature_matrix(rows, panel, cfg)
+        return m.where("date > DATE'2001-05-31'").select("date", "hierarchy1_id", "storetype_id", *cols)
+
+    full, cut = june(data), june(data.where("date <> DATE'2001-05-31'"))
+    assert data.where("date = DATE'2001-05-31'").count() > 0 and full.count() > 0
+    assert full.exceptAll(cut).isEmpty()

