@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
 
 from pyspark.sql import DataFrame
@@ -25,6 +27,20 @@ def shared_table(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def worker_state(owner: str) -> dict:
+    """What this Python worker keeps between tasks for one operator.
+
+    Spark uses its workers again for later stages; the caches of the operator
+    before are dropped when another one asks, so they never add up. The
+    package's functions are shipped by value, so the dictionary hangs on a
+    module of its own.
+    """
+    module = sys.modules.setdefault("panelcast_worker_state", types.ModuleType("panelcast_worker_state"))
+    if getattr(module, "owner", None) != owner:
+        module.owner, module.kept = owner, {}
+    return module.kept
+
+
 def ascii_lower(col):
     """Lower-case A-Z only, as the contracts ask (``lower`` would touch all letters)."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelcast.llm.common import worker_state
+
 SIGNS = string.punctuation.encode() + bytes(range(33))
 BLANK = bytes.maketrans(SIGNS, b" " * len(SIGNS))
 BITS = 22
@@ -206,6 +208,7 @@ def finder(benchmark: DataFrame, window: int, share: float, q: int, block_chars:
                                                 for r in texts.collect()))
 
     def run(frames):
+        worker_state("decontamination")
         index = Windows(items.value, window, share, q)
         for pdf in frames:
             texts = [normal(t) for t in pdf["text"]]

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import components, shared_table
+from panelcast.llm.common import components, shared_table, worker_state
 
 STEP = 4
 
@@ -49,6 +49,7 @@ def text_fingerprint(text: bytes, words: int, seed: int) -> int:
 def fingerprints(docs: DataFrame, words: int = 4, seed: int = 42) -> DataFrame:
     """(doc_id, fp): the fingerprint of every whole text as a signed long."""
     def run(frames):
+        worker_state("simhash")
         for pdf in frames:
             fp = np.array([text_fingerprint(t.encode(), words, seed) for t in pdf["text"]], dtype=np.uint64)
             yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "fp": fp.view(np.int64)})

@@ -11,11 +11,11 @@ from __future__ import annotations
 
 import os
 import re
-import sys
-import types
 
 import numpy as np
 
+from panelcast.llm.common import worker_state
+
 _CHUNKS = re.compile(r"\s*\S+|\s+")
 # Control characters that Python calls white space and the tokenizers do not:
 # texts with them go to the library whole.
@@ -26,16 +26,9 @@ _PLAIN = re.compile(rf"[{_LETTERS}0-9!-&(-/:;=?@\[-`{{}}~]+")
 _PIECES = re.compile(rf"[{_LETTERS}]+|[0-9]|[^{_LETTERS}0-9]+")
 
 
-
-def _state() -> dict:
-    """What this worker process keeps between tasks. The package's functions
-    are shipped by value, so the dictionary hangs on a module of its own."""
-    return vars(sys.modules.setdefault("panelcast_worker_state", types.ModuleType("panelcast_worker_state")))
-
-
 def load_tokenizer(path: str):
     """The tokenizer of a file, loaded once per process; no threads of its own."""
-    held = _state()
+    held = worker_state("tokens")
     if f"tokenizer {path}" not in held:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -44,7 +37,7 @@ def load_tokenizer(path: str):
 
 
 def _cache(kind: str, path: str, limit: int, coming: int) -> dict:
-    c = _state().setdefault(f"{kind} {path}", {})
+    c = worker_state("tokens").setdefault(f"{kind} {path}", {})
     if len(c) + coming > limit:
         c.clear()
     return c

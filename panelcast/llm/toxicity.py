@@ -15,8 +15,6 @@ text. Labels, language, source and id are never inputs.
 from __future__ import annotations
 
 import hashlib
-import sys
-import types
 import zlib
 
 import numpy as np
@@ -24,6 +22,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelcast.llm.common import worker_state
+
 WORD_DIM, CHAR_DIM, HIDDEN, ATTENTION = 8, 8, 12, 12
 CHAR_BUCKETS, STEM_BUCKETS = 4096, 32_768
 WINDOW, STRIDE = 48, 36
@@ -297,7 +297,7 @@ def score_texts(model: Model, texts: list[str], windows: bool = False, batch: in
     The projections of distinct words are kept in the worker process, for this
     model only, and dropped when more than ``limit`` words have been met.
     """
-    held = vars(sys.modules.setdefault("panelcast_worker_state", types.ModuleType("panelcast_worker_state")))
+    held = worker_state("toxicity")
     key = model.digest()
     if held.get("toxicity model") != key:
         held |= {"toxicity model": key, "toxicity rows": {}, "toxicity words": {},

@@ -402,3 +402,20 @@ def test_pipeline_stages(spark, tmp_path):
     for _, stage in P.STAGES:
         out = stage(spark, empty, sf)
         assert out.count() == 0
+
+
+def test_worker_state_holds_one_operator():
+    from panelcast.llm.common import worker_state
+    worker_state("a")["x"] = 1
+    assert worker_state("a") == {"x": 1}
+    assert worker_state("b") == {}
+    assert worker_state("a") == {}
+
+
+def test_word_ids_do_not_depend_on_the_cache_limit():
+    from panelcast.llm.queries import tokenizer_file
+    from panelcast.llm.token_cache import word_ids
+    path = tokenizer_file("word_bpe_49k.json")
+    texts = [f"Word{i} common, text {i * 7919} word{i % 3}" for i in range(200)] + ["", " "]
+    whole = word_ids(texts, path)
+    assert [word_ids([t], path, limit=5)[0] for t in texts] == whole
