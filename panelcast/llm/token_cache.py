@@ -59,7 +59,7 @@ def _ids_of_separate(tok, chunks: list[str]) -> list[bytes]:
     return out
 
 
-def word_ids(texts: list[str], path: str, limit: int = 1_000_000) -> list[bytes]:
+def word_ids(texts: list[str], path: str, limit: int = 400_000) -> list[bytes]:
     """Ids of each text under a tokenizer that drops white space and lower-cases.
 
     A chunk of plain letters, digits and signs is cut further into the pieces
