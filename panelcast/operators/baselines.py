@@ -152,22 +152,22 @@ def ridge_trend_forecast(history: DataFrame, apply_to: DataFrame, origin: dt.dat
     pen = np.full(p, base_penalty)
     pen[2:2 + N_CHANGEPOINTS] = changepoint_penalty
 
+    row, col = np.triu_indices(p)
+
     def solve(batches):
         for pdf in batches:
-            rows = []
-            for _, r in pdf.iterrows():
-                A = np.zeros((p, p))
-                for i in range(p):
-                    for j in range(i, p):
-                        A[i, j] = A[j, i] = r[f"xx_{i}_{j}"]
-                b = np.array([r[f"xy_{i}"] for i in range(p)])
-                scale = r["ymax"] if r["ymax"] and r["ymax"] > 0 else 1.0
-                try:
-                    beta = np.linalg.solve(A / scale + np.diag(pen) * max(r["n"], 1) / scale, b / scale)
-                except np.linalg.LinAlgError:
-                    beta = np.full(p, np.nan)
-                rows.append([r[c] for c in k] + list(beta))
-            yield pd.DataFrame(rows, columns=[f.name for f in out_schema.fields])
+            A = np.zeros((len(pdf), p, p))
+            A[:, row, col] = A[:, col, row] = pdf[[f"xx_{i}_{j}" for i, j in zip(row, col)]].to_numpy(float)
+            b = pdf[[f"xy_{i}" for i in range(p)]].to_numpy(float)
+            ymax = pdf["ymax"].to_numpy(float)
+            scale = np.where(ymax > 0, ymax, 1.0)
+            A = (A + np.diag(pen) * pdf["n"].to_numpy(float)[:, None, None]) / scale[:, None, None]
+            # the penalty makes every finite system regular; a group with other numbers gets NULL
+            ok = np.isfinite(A).all(axis=(1, 2)) & np.isfinite(b).all(axis=1)
+            beta = np.full((len(pdf), p), np.nan)
+            beta[ok] = np.linalg.solve(A[ok], (b / scale[:, None])[ok][:, :, None])[:, :, 0]
+            fitted = pd.DataFrame(beta, columns=[f"b{i}" for i in range(p)], index=pdf.index)
+            yield pd.concat([pdf[[f.name for f in key_fields]], fitted], axis=1)
 
     coef = stats.mapInPandas(solve, out_schema)
     a = apply_to.select("date", *k).distinct()

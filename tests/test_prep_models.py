@@ -1,10 +1,13 @@
 import datetime as dt
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from panelcast.operators import prep as PR
 from panelcast.operators import backtest as BT
+from panelcast.operators import baselines as BL
 from panelcast.operators import metrics as M
+from panelcast.operators import models as MO
 
 D = dt.date
 
@@ -111,3 +114,49 @@ def test_pivot_names_with_any_signs(spark):
     out = pivot_shares(df, "promo").collect()
     assert len(out) == 1
     assert all(abs(out[0][v] - 0.25) < 1e-12 for v in ("16.0", "x`y", "two words", "p,q"))
+
+
+def test_train_columns_keep_frame_order():
+    assert PR.train_columns(["date", "b", "sales", "a"], ["sales", "date", "absent"]) == ["b", "a"]
+
+
+def test_feature_importance_ranks_and_breaks_ties_by_name(spark):
+    class Fitted:
+        class featureImportances:
+            @staticmethod
+            def toArray():
+                return np.array([0.25, 0.5, 0.25, 0.0])
+
+    rows = MO.feature_importance(Fitted, ["z", "m", "a", "n"], top=3).orderBy("rank").collect()
+    assert [tuple(r) for r in rows] == [(1, "m", 0.5), (2, "a", 0.25), (3, "z", 0.25)]
+
+
+def test_ridge_trend_against_brute_force(spark):
+    start, days = D(2019, 1, 1), 60
+    end = start + dt.timedelta(days=days - 1)
+    y = {"t": [5 + 0.3 * i + (i % 7) for i in range(days)], "u": [40 - 0.2 * i for i in range(days)],
+         "bad": [float("nan")] * days, "zero": [0.0] * days}
+    schema = "hierarchy1_id string, storetype_id string, date date, sales double"
+    hist = spark.createDataFrame([("h", k, start + dt.timedelta(days=i), v) for k, vs in y.items()
+                                  for i, v in enumerate(vs)], schema)
+    ahead = [end + dt.timedelta(days=i) for i in range(1, 8)]
+    target = spark.createDataFrame([("h", k, d, None) for k in [*y, "new"] for d in ahead], schema)
+    got = {(r["storetype_id"], r["date"]): r["predicted_fbprophet"]
+           for r in BL.ridge_trend_forecast(hist, target, start, end).collect()}
+    assert len(got) == 5 * 7
+    assert all(got[k, d] is None for k in ("bad", "new") for d in ahead)   # NULL, never NaN
+    assert all(got["zero", d] == 0.0 for d in ahead)
+
+    every = [start + dt.timedelta(days=i) for i in range(days)] + ahead
+    frame = spark.createDataFrame([(d,) for d in every], "date date")
+    X = np.array([list(r)[1:] for r in frame.select("date", *BL._design_exprs(start, float((end - start).days)))
+                  .orderBy("date").collect()], float)
+    penalty = np.full(X.shape[1], 1e-6)
+    penalty[2:2 + BL.N_CHANGEPOINTS] = 10.0
+    for k in ("t", "u"):
+        fit = X[:days]
+        # the same minimum as a least-squares problem with the penalty as extra rows
+        rows = np.vstack([fit, np.diag(np.sqrt(penalty * days))])
+        beta = np.linalg.lstsq(rows, np.concatenate([y[k], np.zeros(len(penalty))]), rcond=None)[0]
+        for d, v in zip(ahead, X[days:] @ beta):
+            assert abs(got[k, d] - max(v, 0.0)) < 1e-4 * max(1, abs(v))
