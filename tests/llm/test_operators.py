@@ -249,6 +249,17 @@ def test_line_dedup(spark, odd_rows):
     assert line_classes(frame(spark, [])).count() == 0
 
 
+def test_short_lines_repeat_exactly(spark):
+    from panelcast.llm.line_dedup import line_classes, remove_lines
+    rows = [(1, "And ornd.\n\nx"), (2, "  And \t ornd.\nAnd orne."), (3, "x\n\nand ornd.")]
+    got = {(r.doc_id, r.line_no): (r.class_doc_id, r.class_line_no, r.n_links, r.removed)
+           for r in line_classes(frame(spark, rows)).collect()}
+    assert got == {(1, 0): (1, 0, 0, False), (1, 2): (1, 2, 0, False), (2, 0): (1, 0, 0, True), (2, 1): (2, 1, 0, False),
+                   (3, 0): (1, 2, 0, True), (3, 2): (3, 2, 0, False)}
+    out = {r.doc_id: r.text for r in remove_lines(frame(spark, rows)).collect()}
+    assert out == {1: "And ornd.\n\nx", 2: "And orne.", 3: "\nand ornd."}
+
+
 def test_decontamination(spark, odd_rows):
     from panelcast.llm.decontaminate import clean_documents, contamination
     r = random.Random(17)
