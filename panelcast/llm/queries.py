@@ -46,7 +46,7 @@ def op3_license_scan(spark, sf_dir):
 
 def op4_line_dedup(spark, sf_dir):
     from panelcast.llm.line_dedup import line_classes
-    return line_classes(read_table(spark, sf_dir, "documents"), edits=2, min_chars=20)
+    return line_classes(read_table(spark, sf_dir, "documents"), edits=2, min_chars=20, share=0.1)
 
 
 def op5_decontamination(spark, sf_dir):

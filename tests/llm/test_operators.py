@@ -249,6 +249,27 @@ def test_line_dedup(spark, odd_rows):
     assert line_classes(frame(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("edits_, share", [(2, 0.1), (1, 0.25), (3, 0.03)])
+def test_line_budget_grows_with_length(spark, edits_, share):
+    from panelcast.llm.line_dedup import line_classes
+    r = random.Random(19)
+    lines = [" ".join(words(r.randint(4, 40), 900 + i)) for i in range(8)] + ["ab" * 30, "a" * 70]
+    found = {mutate(x, r.randint(0, max(3, int(1.2 * share * len(x)))), r) for x in lines for _ in range(8)}
+    # a changed first half of an otherwise equal line, and lengths across a class border
+    found = sorted(x for x in found | {x + " tail of" for x in lines} if len(x) >= 20)
+    rows = [(i, x) for i, x in enumerate(found)]
+    want = collections.Counter()
+    for i, a in enumerate(found):
+        for j, b in enumerate(found[:i]):
+            k = max(edits_, int(share * min(len(a), len(b))))
+            if abs(len(a) - len(b)) <= k and edits(a, b) <= k:
+                want[i] += 1
+                want[j] += 1
+    got = {x.doc_id: x.n_links for x in line_classes(frame(spark, rows), edits_, 20, share).collect()}
+    assert got == {i: want[i] for i in range(len(found))}
+    assert sum(want.values()) > 100
+
+
 def test_short_lines_repeat_exactly(spark):
     from panelcast.llm.line_dedup import line_classes, remove_lines
     rows = [(1, "And ornd.\n\nx"), (2, "  And \t ornd.\nAnd orne."), (3, "x\n\nand ornd.")]
