@@ -10,8 +10,9 @@ only bands that reach the bound are aligned, within the band.
 Texts are compared as UTF-8 bytes, lower-cased, with every run of ASCII white
 space, control characters and punctuation as one space; an edit is an edit of such a byte.
 
-The benchmark goes to the executors whole; its size is checked against
-``block_chars`` first, and a larger one is refused (pass it in parts then).
+The benchmark goes to the executors in blocks of about ``block_chars``
+characters; every text is scanned with each block's windows in turn, so a
+larger benchmark takes more passes over a batch, not more memory for an index.
 """
 
 from __future__ import annotations
@@ -189,7 +190,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 120, shar
     Null text counts as empty; empty benchmark texts and ones shorter than a
     q-gram match nothing; repeated rows get equal rows; an empty table on
     either side gives no regions; other columns are ignored. The texts stay
-    where they are read: nothing is shuffled.
+    where they are read: nothing is shuffled, whatever the number of blocks.
     """
     schema = ("doc_id long, contaminated boolean, n_regions long, items array<long>, starts array<long>, "
               "ends array<long>, edits array<long>")
@@ -197,22 +198,41 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 120, shar
     return rows.mapInPandas(finder(benchmark, window, share, q, block_chars), schema)
 
 
+def benchmark_blocks(items, block_chars: int):
+    """Lists of the (item, text) pairs ``items``, each of at most ``block_chars`` characters or of one item."""
+    block, size = [], 0
+    for item, text in items:
+        if block and size + len(text) > block_chars:
+            yield block
+            block, size = [], 0
+        block.append((item, text))
+        size += len(text)
+    if block:
+        yield block
+
+
 def finder(benchmark: DataFrame, window: int, share: float, q: int, block_chars: int):
-    """The function over batches of documents that knows the benchmark (of bounded size)."""
+    """The function over batches of documents that knows the benchmark, in blocks."""
     spark = benchmark.sparkSession
-    texts = benchmark.where(F.col("text").isNotNull() & (F.col("text") != "")).select("item_id", "text").distinct()
-    size = texts.agg(F.sum(F.length("text"))).first()[0] or 0
-    if size > block_chars:
-        raise ValueError(f"the benchmark has {size} characters; {block_chars} are broadcast at most")
-    items = spark.sparkContext.broadcast(sorted((r["item_id"] if r["item_id"] is not None else -1, r["text"])
-                                                for r in texts.collect()))
+    texts = (benchmark.where(F.col("text").isNotNull() & (F.col("text") != ""))
+             .select(F.coalesce("item_id", F.lit(-1)).alias("item_id"), "text").distinct().orderBy("item_id", "text"))
+    items = [spark.sparkContext.broadcast(block)
+             for block in benchmark_blocks(((r["item_id"], r["text"]) for r in texts.toLocalIterator()), block_chars)]
 
     def run(frames):
         worker_state("decontamination")
-        index = Windows(items.value, window, share, q)
+        index, at = None, None  # of one block at a time; the texts of all stay
         for pdf in frames:
             texts = [normal(t) for t in pdf["text"]]
-            found = [r for s in blocks(texts) for r in regions(texts[s], index)]
+            slices = list(blocks(texts))
+            found: list[list] = [[] for _ in texts]
+            for n, block in enumerate(items):
+                if at != n:
+                    index = None
+                    index, at = Windows(block.value, window, share, q), n
+                for s in slices:
+                    for mine, more in zip(found[s], regions(texts[s], index)):
+                        mine += [r for r in more if r not in mine]
             out = [(key, bool(r), len(r), sorted({x[0] for x in r}), [x[1] for x in r], [x[2] for x in r],
                     [x[3] for x in r]) for key, r in zip(pdf["doc_id"], found)]
             yield pd.DataFrame(out, columns=["doc_id", "contaminated", "n_regions", "items", "starts", "ends", "edits"]

@@ -303,6 +303,24 @@ def test_decontamination(spark, odd_rows):
     assert contamination(frame(spark, rows), bench.limit(0)).where("contaminated").count() == 0
 
 
+def test_benchmark_of_several_blocks(spark):
+    from panelcast.llm.decontaminate import benchmark_blocks, clean_documents, contamination
+    texts = [(i, " ".join(words(30, 800 + i))) for i in range(7)]
+    assert [len(b) for b in benchmark_blocks([(i, "x" * n) for i, n in enumerate([4, 4, 3, 30, 1])], 10)] == [2, 1, 1, 1]
+    bench = spark.createDataFrame(texts + [(3, texts[5][1]), (None, texts[6][1])], "item_id long, text string")
+    rows = [(i, " ".join(words(50, 850 + i)) + " " + texts[i][1] + "\n" + texts[-1 - i][1]) for i in range(7)]
+    rows += [(None, None), (90, " ".join(words(90, 890)))]
+
+    def result(block_chars):
+        return sorted(((r.doc_id is not None, r.doc_id, r.contaminated, r.n_regions, r["items"], sorted(zip(r.starts, r.ends, r.edits)))
+                       for r in contamination(frame(spark, rows), bench, block_chars=block_chars).collect()), key=str)
+    whole = result(2_000_000)
+    assert sum(r[2] for r in whole) == 7
+    for block_chars in (1, 500):  # smaller than the benchmark, which was refused
+        assert result(block_chars) == whole
+        assert clean_documents(frame(spark, rows), bench, block_chars=block_chars).count() == 2
+
+
 def test_url_rules(spark):
     import duckdb
 
