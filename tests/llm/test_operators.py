@@ -381,6 +381,30 @@ def test_spotsigs(spark, odd_rows):
     assert edited_fingerprints(frame(spark, [])).count() == 0
 
 
+def test_spotsigs_links_against_all_pairs(spark):
+    from panelcast.llm.spotsigs import edited_fingerprints, similar_sets
+    r = random.Random(23)
+    sets = [frozenset()]
+    for n in (1, 2, 4, 5, 6, 9, 10, 25, 80):
+        for _ in range(6):
+            base = [r.randrange(1 << 32) for _ in range(n)] if r.random() < .7 else r.sample(range(120), n)
+            sets.append(frozenset(base))
+            for _ in range(6):
+                keep = r.sample(base, r.randint(max(1, 7 * n // 10), n))
+                sets.append(frozenset(keep + [r.randrange(200) for _ in range(r.randint(0, n // 4 + 1))]))
+    sets = sorted(set(sets), key=sorted)
+    want = {(i, j) for j, y in enumerate(sets) for i, x in enumerate(sets[:j])
+            if x and y and 10 * len(x & y) >= 8 * len(x | y)}
+    rows = [(i, sorted(x)) for i, x in enumerate(sets)]
+    got = similar_sets(spark.createDataFrame(rows + rows[::3], "id long, sigs array<long>")).collect()
+    assert len(got) == len(want) > 50 and {(x.a, x.b) for x in got} == want
+    base = words(300, 77)
+    docs = [(1, " ".join(base)), (2, " ".join(words(300, 78))), (3, " ".join(base[:285] + words(15, 79))),
+            (4, " ".join(base)), (5, " ".join(words(300, 80))), (6, None)]
+    got = {x.doc_id: x.n_similar for x in edited_fingerprints(frame(spark, docs)).collect()}
+    assert got == {1: 1, 2: 0, 3: 1, 4: 1, 5: 0, 6: 0}
+
+
 def test_gru_gradients():
     """The hand-written backward pass against numeric differences."""
     from panelcast.llm import toxicity as T
