@@ -72,6 +72,16 @@ def op10_toxicity(spark, sf_dir):
     return score_documents(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op11_prefix_trie(spark, sf_dir):
+    from panelcast.llm.prefix_trie import prefix_trie
+    return prefix_trie(read_table(spark, sf_dir, "conversations"))
+
+
+def op11_sql():
+    from panelcast.llm.prefix_trie import trie_sql
+    return trie_sql()
+
+
 REGISTRY = {
     "op1_packing": (op1_packing, None),
     "op2_spotsigs": (op2_spotsigs, None),
@@ -83,4 +93,5 @@ REGISTRY = {
     "op8_simhash": (op8_simhash, None),
     "op9_substring_dedup": (op9_substring_dedup, None),
     "op10_toxicity": (op10_toxicity, None),
+    "op11_prefix_trie": (op11_prefix_trie, op11_sql()),
 }
