@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 import types
 import uuid
+import zlib
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,6 +47,17 @@ def ascii_lower(col):
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def crc_list() -> str:
+    """DuckDB list of the 256 remainders of CRC-32 (one byte through the polynomial)."""
+    return f"CAST({[zlib.crc32(bytes([x])) ^ zlib.crc32(bytes(1)) for x in range(256)]} AS BIGINT[])"
+
+
+def sql_crc32(octets: str, table: str = "tab") -> str:
+    """DuckDB expression: CRC-32 of a list of bytes (bigint); ``table`` is a column holding ``crc_list()``."""
+    return (f"xor(list_reduce([CAST(4294967295 AS BIGINT)] || {octets}, lambda s, x: "
+            f"xor(s >> 8, {table}[(xor(s, x) & 255) + 1])), CAST(4294967295 AS BIGINT))")
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of an undirected graph.
 

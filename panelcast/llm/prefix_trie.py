@@ -16,13 +16,12 @@ goes to the ancestors in the band above, again at most ``band`` rows.
 from __future__ import annotations
 
 import hashlib
-import zlib
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import shared_table
+from panelcast.llm.common import crc_list, shared_table, sql_crc32
 
 NOTHING = hashlib.sha256(b"").hexdigest()
 ID = ["a", "b"]
@@ -179,16 +178,9 @@ def prefix_trie(conversations: DataFrame, group: int = 5, heads: int = 9, band:
                     F.coalesce("ends_sha256", F.lit(NOTHING)).alias("ends_sha256")))
 
 
-def crc_table() -> list[int]:
-    """The 256 remainders of CRC-32: one byte through the reflected polynomial."""
-    return [zlib.crc32(bytes([x])) ^ zlib.crc32(b"\0") for x in range(256)]
-
-
 def trie_sql(group: int = 5, heads: int = 9) -> str:
     """The same nodes in DuckDB, by whole prefixes as list keys."""
-    crc = ("xor(list_reduce([CAST(4294967295 AS BIGINT)] || list_transform(string_split(CAST(conv_id AS VARCHAR), ''), "
-           "lambda x: CAST(ascii(x) AS BIGINT)), lambda s, x: xor(s >> 8, tab[(xor(s, x) & 255) + 1])), "
-           "CAST(4294967295 AS BIGINT))")
+    digits = "list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))"
     return f"""
 WITH turns AS (
   SELECT CAST(conv_id AS BIGINT) AS conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
@@ -198,8 +190,8 @@ own AS (
     row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(CAST(strlen(role) AS VARCHAR) || ':' || role || text)) AS place
   FROM turns),
 convs AS (
-  SELECT conv_id, conv_id - conv_id % {group} AS source, {crc} % {heads} AS head
-  FROM (SELECT DISTINCT conv_id, CAST({crc_table()} AS BIGINT[]) AS tab FROM own)),
+  SELECT conv_id, conv_id - conv_id % {group} AS source, {sql_crc32(digits)} % {heads} AS head
+  FROM (SELECT DISTINCT conv_id, {crc_list()} AS tab FROM own)),
 rebuilt AS (
   SELECT c.conv_id, 1 AS part, o.place, o.k, o.bytes FROM convs c JOIN own o ON o.conv_id = c.source AND o.place <= c.head
   UNION ALL SELECT c.conv_id, 2, o.place, o.k, o.bytes FROM convs c JOIN own o ON o.conv_id = c.conv_id AND o.place > c.head),

@@ -82,6 +82,16 @@ def op11_sql():
     return trie_sql()
 
 
+def op12_spelling(spark, sf_dir):
+    from panelcast.llm.spelling import spelling_variants
+    return spelling_variants(read_table(spark, sf_dir, "documents"))
+
+
+def op12_sql():
+    from panelcast.llm.spelling import spelling_sql
+    return spelling_sql()
+
+
 REGISTRY = {
     "op1_packing": (op1_packing, None),
     "op2_spotsigs": (op2_spotsigs, None),
@@ -94,4 +104,5 @@ REGISTRY = {
     "op9_substring_dedup": (op9_substring_dedup, None),
     "op10_toxicity": (op10_toxicity, None),
     "op11_prefix_trie": (op11_prefix_trie, op11_sql()),
+    "op12_spelling": (op12_spelling, op12_sql()),
 }
