@@ -51,11 +51,12 @@ class _Vocabulary(dict):
         self.crc[k], self.size[k] = zlib.crc32(utf8), len(utf8)
         return k
 
-    def count(self, keys: list[bytes], texts: list[str], modulus: int) -> dict[bytes, int]:
+    def count(self, keys: list[bytes], texts: list[str], modulus: int, min_chars: int) -> dict[bytes, int]:
         """Add the words of some documents; returns the words that lose a
         letter. ``crc(key + word)`` is the word's CRC, XORed with a value that
-        depends on the key and the word's length alone."""
-        rows = [t.encode("latin-1", "replace").translate(_TABLE).split() for t in texts]
+        depends on the key and the word's length alone. Words under
+        ``min_chars`` letters count for nothing, with or without one more lost."""
+        rows = [[w for w in t.encode("latin-1", "replace").translate(_TABLE).split() if len(w) >= min_chars] for t in texts]
         ids = np.array([k for r in rows for k in map(self.__getitem__, r)], np.int64)
         doc = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
         if not len(ids):
@@ -97,7 +98,7 @@ def word_counts(docs: DataFrame, modulus: int = 97, min_chars: int = 5, min_coun
         for pdf in frames:
             keys, texts = [f"{i}:".encode() for i in pdf["id"]], pdf["text"].tolist()
             for s in in_blocks(texts):
-                for w, n in seen.count(keys[s], texts[s], modulus).items():
+                for w, n in seen.count(keys[s], texts[s], modulus, min_chars).items():
                     shorter[w] = shorter.get(w, 0) + n
                 if len(seen.words) > flush:
                     yield from out()
@@ -137,6 +138,8 @@ class KdTree:
         self.order = np.arange(len(points))
         self.dim, self.cut, self.low, self.high = [], [], [], []
         self.left, self.right, self.start, self.end = [], [], [], []
+        used = np.flatnonzero(points.any(axis=0))
+        points = points[:, used].astype(np.float32)
         todo = [(0, len(points), {}, -1, False)]
         while todo:
             a, b, box, parent, right = todo.pop()
@@ -146,12 +149,10 @@ class KdTree:
             mine = points[self.order[a:b]]
             d = cut = -1
             if b - a > leaf:
-                d = int(mine.var(axis=0, dtype=np.float32).argmax())
-                x = mine[:, d]
-                top = int(x.max())
-                cut = min(int(np.median(x)), top - 1)
-                if cut < int(x.min()):
-                    d = -1
+                widest = int(((mine * mine).mean(axis=0) - mine.mean(axis=0) ** 2).argmax())
+                x = mine[:, widest]
+                cut = min(int(np.median(x)), int(x.max()) - 1)
+                d = int(used[widest]) if cut >= x.min() else -1
             low, high = box.get(d, (0, self.WIDE))
             for k, v in (("dim", d), ("cut", cut), ("low", low), ("high", high), ("left", -1), ("right", -1),
                          ("start", a), ("end", b)):
@@ -315,7 +316,7 @@ def near_words(words: DataFrame, cell_words: int = 20_000, sample_words: int = 2
         if len(at):
             points = letter_rows(words[at].tolist(), len(words[at[0]]))
             point_counts = letter_counts(points)
-            tree = KdTree(point_counts, 6)
+            tree = KdTree(point_counts, 24)
             for kind in (0, 1, 2):
                 mine = at if kind == 0 else np.flatnonzero(role == kind)
                 if not len(mine):
