@@ -92,6 +92,11 @@ def op12_sql():
     return spelling_sql()
 
 
+def op13_main_text(spark, sf_dir):
+    from panelcast.llm.main_text import main_text
+    return main_text(read_table(spark, sf_dir, "pages"))
+
+
 REGISTRY = {
     "op1_packing": (op1_packing, None),
     "op2_spotsigs": (op2_spotsigs, None),
@@ -105,4 +110,5 @@ REGISTRY = {
     "op10_toxicity": (op10_toxicity, None),
     "op11_prefix_trie": (op11_prefix_trie, op11_sql()),
     "op12_spelling": (op12_spelling, op12_sql()),
+    "op13_main_text": (op13_main_text, None),
 }
