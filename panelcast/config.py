@@ -58,9 +58,14 @@ class ForecastConfig:
     share_features: tuple[str, ...] = SHARE_FEATURES
     except_cols: tuple[str, ...] = EXCEPT_COLS
     n_folds: int = 3
-    # Boosted-tree settings (MLlib GBT).
-    gbt_max_iter: int = 30
-    gbt_step_size: float = 0.1
+    # Boosted-tree settings, the reference's values. Engine: 'histogram' or 'mllib'.
+    gbt_engine: str = "histogram"
+    gbt_max_iter: int = 100_000
+    gbt_step_size: float = 0.01
+    gbt_patience: int = 50
+    gbt_leaves: int = 50
+    gbt_l1: float = 0.5
+    gbt_l2: float = 0.5
     gbt_max_depth: int = 5
     gbt_max_bins: int = 128
     gbt_min_instances: int = 50
@@ -100,4 +105,6 @@ FIXTURE_CONFIG = ForecastConfig(
     train_start="1997-01-01", train_end="2001-05-31",
     test_start="2001-06-01", test_end="2001-06-30",
     prediction_start="2001-07-01", prediction_end="2001-07-31",
+    # larger steps than the reference's 0.01 (patience 50), so a run takes some ten rounds
+    gbt_max_iter=200, gbt_step_size=0.2, gbt_patience=5,
 )

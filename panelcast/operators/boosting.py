@@ -48,6 +48,7 @@ class BoostParams:
     l2: float = 0.5
     block_rows: int = 8192
     sample_rows: int = 200_000
+    task_rows: int = 12_000
     refresh: int = 16       # rounds between two writes of the scores
 
 
@@ -320,8 +321,11 @@ def fit_boosted(df: DataFrame, feature_cols, target: str, weight: str, valid: st
     edges = bin_edges(df.where(~F.col(valid) & F.col(target).isNotNull()), cols, p, fit_col)
     packed = cut_lineage(pack(df, cols, edges, p, fit_col, target, weight, valid))
     n_features_, bins_ = n_features, p.bins
-    state = packed.rdd.map(lambda r: _Block(r, n_features_, bins_)).persist(StorageLevel.MEMORY_AND_DISK)
-    parts = sc.defaultParallelism
+    state = packed.rdd.map(lambda r: _Block(r, n_features_, bins_))
+    blocks = state.map(lambda b: len(b.y))
+    tasks = max(1, min(state.getNumPartitions(), -(-blocks.sum() // p.task_rows)))     # small tables in few tasks
+    parts = min(sc.defaultParallelism, tasks)
+    state = state.coalesce(tasks).persist(StorageLevel.MEMORY_AND_DISK)
     start = state.map(lambda b: (b.fit, np.array([(b.w * b.y)[~b.valid].sum(), b.w[~b.valid].sum()]))) \
                  .reduceByKey(lambda a, b: a + b, parts).collectAsMap()
     base = {f: float(v[0] / v[1]) for f, v in start.items() if v[1] > 0}

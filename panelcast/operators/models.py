@@ -1,12 +1,13 @@
 """Boosted-tree model (O41), feature ranking (O43), result combination (O13,
 O49) and dataset preparation for the model.
 
-MLlib's GBTRegressor replaces LightGBM: depth-wise trees, 128 bins, min 50
-rows per leaf, early stopping on the validation split. Not available in
-MLlib: leaf-wise growth, L1/L2 leaf penalties, a custom stopping metric.
-MLlib rejects NaN features at fit time, so missing values get a sentinel
-(-1, below every real feature value of this panel: counts, sums, shares,
-prices and sizes are >= 0; cyclic columns are never missing).
+``gbt_engine`` chooses between the histogram trees of ``operators.boosting``
+(leaf-wise, L1/L2, patience on the asymmetric error, own side for missing
+values) and MLlib's GBTRegressor (depth-wise, 128 bins, min 50 rows per leaf,
+stops at the first rise of the validation error). MLlib rejects NaN features
+at fit time, so there missing values get a sentinel (-1, below every real
+feature value of this panel: counts, sums, shares, prices and sizes are >= 0;
+cyclic columns are never missing).
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from panelcast.config import ForecastConfig
 from panelcast.functions.scalar import clamp_non_negative, log_transform
 from panelcast.operators import panel as P
 from panelcast.operators import prep as PR
+from panelcast.operators.boosting import BoostedTrees, BoostParams, fit_boosted, name_of
 
 MISSING = -1.0
 
@@ -64,7 +66,7 @@ def feature_vector(feature_cols):
     Written as one SQL expression: a single parse on the JVM instead of a
     hundred Python-built column objects (and far cheaper than a
     VectorAssembler over a hundred input columns)."""
-    items = ", ".join(f"coalesce(cast(`{c}` AS DOUBLE), {MISSING!r}D)" for c in feature_cols)
+    items = ", ".join(f"coalesce(cast({name_of(c)} AS DOUBLE), {MISSING!r}D)" for c in feature_cols)
     return array_to_vector(F.expr(f"array({items})"))
 
 
@@ -72,12 +74,25 @@ def with_features(df: DataFrame, feature_cols) -> DataFrame:
     return df.withColumn("features", feature_vector(feature_cols))
 
 
+def boost_params(cfg: ForecastConfig) -> BoostParams:
+    return BoostParams(rounds=cfg.gbt_max_iter, rate=cfg.gbt_step_size, patience=cfg.gbt_patience, depth=cfg.gbt_max_depth,
+                       leaves=cfg.gbt_leaves, bins=cfg.gbt_max_bins, min_rows=cfg.gbt_min_instances, l1=cfg.gbt_l1, l2=cfg.gbt_l2)
+
+
+def train_boosted(md: ModelData, cfg: ForecastConfig, fit_col: str | None = None) -> BoostedTrees:
+    """Histogram trees on log1p(target), weighted; the test split decides when to stop."""
+    keep = [name_of(c) for c in dict.fromkeys([cfg.target, "weight", "__val", *([fit_col] if fit_col else []), *md.feature_cols])]
+    both = md.train.withColumn("__val", F.lit(False)).select(*keep).unionByName(
+        md.test.withColumns({"__val": F.lit(True), "weight": F.lit(1.0)}).select(*keep))
+    return fit_boosted(both, md.feature_cols, cfg.target, "weight", "__val", boost_params(cfg), fit_col)
+
+
 def train_gbt(md: ModelData, cfg: ForecastConfig) -> GBTRegressionModel:
-    """Fit on log1p(target), weighted, validated on the test split."""
+    """O41 with MLlib: fit on log1p(target), weighted, validated on the test split."""
     t = cfg.target
     tr = md.train.withColumn("__val", F.lit(False))
     te = md.test.withColumn("__val", F.lit(True)).withColumn("weight", F.lit(1.0))
-    cols = ["date", *cfg.keys, t, "weight", "__val", *md.feature_cols]
+    cols = [name_of(c) for c in ["date", *cfg.keys, t, "weight", "__val", *md.feature_cols]]
     both = tr.select(*cols).unionByName(te.select(*cols)).where(F.col(t).isNotNull())
     both = with_features(both, md.feature_cols).withColumn("label", log_transform(t))
     # MLlib reads its input several times (split sampling, binning, validation):

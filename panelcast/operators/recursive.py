@@ -1,22 +1,27 @@
 """Recursive day-by-day forecast, all groups at once.
 
-The loop runs over days only (the horizon, e.g. 31 steps). Each step is one
-distributed transform over one row per group; the state is cut from its
-lineage with a reliable checkpoint into the shared checkpoint folder after
-every step, so a lost executor recomputes at most one step.
+Two engines with the same rules. ``recursive_states`` scores boosted trees of
+``operators.boosting`` in one Spark job: groups are dealt to buckets, and a
+task rolls the days of its groups forward together, as arrays over groups.
+``recursive_forecast`` serves MLlib models: each day is one distributed
+transform over one row per group, with a reliable checkpoint every few days.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelcast.config import ForecastConfig, MANUAL_CYCLE_MAX
 from panelcast.functions.calendar import CYCLIC_ORDER
 from panelcast.functions.scalar import clamp_non_negative, log_transform
 from panelcast.operators import models as MD
+from panelcast.operators.boosting import BoostedTrees, name_of
 from panelcast.session import ensure_checkpoint_dir, cut_lineage
 
 
@@ -33,9 +38,9 @@ def _project(df: DataFrame, overrides: dict[str, str], keep_new_order: bool = Fa
     """One projection: every column of `df`, with `overrides` (SQL text)
     replacing or adding columns. A single selectExpr call keeps per-step
     planning cost independent of the feature count."""
-    cols = [c for c in df.columns]
-    items = [f"{overrides[c]} AS `{c}`" if c in overrides else f"`{c}`" for c in cols]
-    items += [f"{e} AS `{c}`" for c, e in overrides.items() if c not in cols]
+    cols = list(df.columns)
+    items = [f"{overrides[c]} AS {name_of(c)}" if c in overrides else name_of(c) for c in cols]
+    items += [f"{e} AS {name_of(c)}" for c, e in overrides.items() if c not in cols]
     return df.selectExpr(*items)
 
 
@@ -170,3 +175,148 @@ def recursive_forecast(model, predict_frame: DataFrame, panel: DataFrame, featur
     out = state.selectExpr(*kq, f"explode({OUT}) AS __o").selectExpr("__o.date AS date", *kq,
                                                                       "__o.predicted AS predicted")
     return out.withColumn("predicted", _p("predicted"))
+
+
+# ---------------------------------------------------------------- one job for the horizon
+GROUPS_A_BUCKET = 500
+
+
+def _clamped(x: np.ndarray) -> np.ndarray:
+    """Back-transformed forecasts, negative ones 0 (NaN stays)."""
+    p = np.expm1(x)
+    return np.where(p < 0, 0.0, p)
+
+
+def _ratio(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.divide(a, b, out=np.full(len(a), np.nan), where=(b != 0) & ~np.isnan(b) & ~np.isnan(a))
+
+
+class _States:
+    """The groups of one bucket and fit: feature rows by (group, day) and what the recursion carries."""
+
+    def __init__(self, pdf: pd.DataFrame, cfg: ForecastConfig, feature_cols, groups: int):
+        self.cfg, self.pos = cfg, {c: i for i, c in enumerate(feature_cols)}
+        self.g, self.h = groups, len(pdf) // groups
+        self.X = pdf[[f"__f{i}" for i in range(len(feature_cols))]].to_numpy(float).reshape(groups, self.h, -1)
+        for name in ("__day", "week", "month", "avg_same_month_sales", "avg_same_week_sales",
+                     "month_sales_to_date", "week_sales_to_date"):
+            setattr(self, name.strip("_"), pdf[name].to_numpy(float).reshape(groups, self.h))
+        self.ym, self.yw = (pdf[c].to_numpy().reshape(groups, self.h) for c in ("year_month", "year_week"))
+
+    def put(self, X, name, values):
+        if name in self.pos:
+            X[:, self.pos[name]] = values
+
+    def forecast(self, score, history) -> np.ndarray:
+        return self._compat(score) if self.cfg.compat else self._rolling(score, history)
+
+    def _rolling(self, score, history):
+        """O44 default: forecasts join the history; lags, totals, to-date sums and ratios follow from it."""
+        depth, lags = max(self.cfg.lags), self.cfg.lags
+        value, day = np.full((self.g, depth), np.nan), np.full((self.g, depth), -np.inf)
+        for k, rows in enumerate(history):
+            for j, r in enumerate(reversed([] if rows is None else list(rows)[-depth:])):
+                value[k, -1 - j], day[k, -1 - j] = np.nan if r["v"] is None else r["v"], r["d"]
+        out = np.empty((self.g, self.h))
+        out[:, 0] = score(self.X[:, 0])
+        month, week = self.month_sales_to_date[:, 0], self.week_sales_to_date[:, 0]
+        for i in range(1, self.h):
+            p, today = _clamped(out[:, i - 1]), self.day[:, i]
+            value = np.column_stack((value[:, 1:], p))
+            day = np.column_stack((day[:, 1:], self.day[:, i - 1]))
+            X = self.X[:, i].copy()
+            lagged = [np.where(np.isinf(day[:, -k]), np.nan, np.where(today - day[:, -k] == k, value[:, -k], 0.0)) for k in lags]
+            for n in lags:
+                if self.cfg.lag_mode == "calendar":
+                    total = np.where(today[:, None] - day <= n, np.nan_to_num(value), 0.0).sum(axis=1)
+                else:
+                    total = np.nan_to_num(np.array(lagged[:n])).sum(axis=0)
+                self.put(X, f"total_sales_last_{n}_days", total)
+            month = np.where(self.ym[:, i] == self.ym[:, i - 1], month + p, 0.0)
+            week = np.where(self.yw[:, i] == self.yw[:, i - 1], week + p, 0.0)
+            self._progress(X, month, week, self.avg_same_month_sales[:, i], self.avg_same_week_sales[:, i])
+            out[:, i] = score(X)
+        return out
+
+    def _progress(self, X, month, week, same_month, same_week):
+        self.put(X, "month_sales_to_date", month)
+        self.put(X, "week_sales_to_date", week)
+        self.put(X, "percentage_sold_of_month", _ratio(month, same_month))
+        self.put(X, "percentage_sold_of_week", _ratio(week, same_week))
+
+    def _compat(self, score):
+        """O44 as in the reference: the first day's row is carried on (see ``advance_state_compat``)."""
+        out = np.empty((self.g, self.h))
+        X = self.X[:, 0].copy()
+        out[:, 0] = score(X)
+        old_week, old_month = self.week[:, 0], self.month[:, 0]
+        dates = pd.to_datetime(self.day.astype("int64").ravel(), unit="D")
+        parts = {"weekday": dates.weekday, "week": dates.isocalendar().week, "month": dates.month,
+                 "quarter": dates.quarter, "year": dates.year}
+        parts = {k: np.asarray(v, float).reshape(self.g, self.h) for k, v in parts.items()}
+        for i in range(1, self.h):
+            p = _clamped(out[:, i - 1])
+            for k in self.cfg.lags:
+                name = f"total_sales_last_{k}_days"
+                if name in self.pos:
+                    x = X[:, self.pos[name]]
+                    X[:, self.pos[name]] = p if k == 1 else x - p + p
+            now = {k: v[:, i] for k, v in parts.items()}
+            week, month = np.where(now["week"] > old_week, 0.0, p), np.where(now["month"] > old_month, 0.0, p)
+            self._progress(X, month, week, self.avg_same_month_sales[:, 0], self.avg_same_week_sales[:, 0])
+            for name in ("weekday", "week", "month", "year"):
+                self.put(X, name, now[name])
+            for c in CYCLIC_ORDER:
+                a = 2 * np.pi * now[c] / float(MANUAL_CYCLE_MAX[c])
+                self.put(X, f"{c}_sin", np.sin(a))
+                self.put(X, f"{c}_cos", np.cos(a))
+            old_week, old_month = now["week"], now["month"]
+            out[:, i] = score(X)
+        return out
+
+
+def recursive_states(model: BoostedTrees, predict_frame: DataFrame, panel: DataFrame, feature_cols, cfg: ForecastConfig,
+                     fit_col: str | None = None) -> DataFrame:
+    """O45 for boosted trees: (date, K, predicted) of every group in one job.
+
+    ``predict_frame`` has one row per group and day of its window, without
+    gaps (windows may differ between fits, ``fit_col`` being one of the keys
+    then); ``panel`` holds the days before. A task holds ``GROUPS_A_BUCKET``
+    groups at a time, each with its window and ``max(lags)`` days before it.
+    """
+    k, depth = list(cfg.keys), max(cfg.lags)
+    on = [name_of(c) for c in k]
+    day = F.datediff("date", F.lit("1970-01-01").cast("date"))
+    starts = predict_frame.groupBy(*on).agg(F.min("date").alias("__start"))
+    last = Window.partitionBy(*on).orderBy(F.col("date").desc())
+    before = (panel.select(*on, "date", F.col(name_of(cfg.target)).cast("double").alias("v")).join(starts, k)
+              .where(F.col("date") < F.col("__start")).withColumn("__rn", F.row_number().over(last)).where(F.col("__rn") <= depth)
+              .groupBy(*on).agg(F.sort_array(F.collect_list(F.struct(day.cast("double").alias("d"), "v"))).alias("__hist")))
+    extra = ["week", "month", "year_month", "year_week", "month_sales_to_date", "week_sales_to_date",
+             "avg_same_month_sales", "avg_same_week_sales"]
+    n = max(1, -(-starts.count() // GROUPS_A_BUCKET))
+    rows = (predict_frame.join(starts.join(before, k, "left"), k)
+            .select(*on, "date", day.alias("__day"), *extra, (F.col(name_of(fit_col)) if fit_col else F.lit("all")).alias("__fit"),
+                    F.when(F.col("date") == F.col("__start"), F.col("__hist")).alias("__hist"),
+                    F.pmod(F.xxhash64(*on), F.lit(n)).cast("int").alias("__bucket"),
+                    *[F.expr(f"cast({name_of(c)} as double)").alias(f"__f{i}") for i, c in enumerate(feature_cols)]))
+
+    def run(pdf):
+        out = []
+        for fit, part in pdf.groupby("__fit", sort=False):
+            part = part.sort_values([*k, "date"]).reset_index(drop=True)
+            first = np.flatnonzero(~part.duplicated(k))
+            size = np.diff([*first, len(part)])
+            gap = np.diff(part["__day"].to_numpy()) != 1
+            gap[first[1:] - 1] = False
+            if (size != size[0]).any() or gap.any():
+                raise RuntimeError("prediction window has a gap for a group")
+            s = _States(part, cfg, feature_cols, len(first))
+            x = s.forecast(lambda X: model.predict(fit, X), part["__hist"].iloc[first])
+            out.append(part[["date", *k]].assign(predicted=_clamped(x).ravel()))
+        return pd.concat(out)
+
+    fields = [f for f in predict_frame.schema.fields if f.name in k]
+    schema = T.StructType([T.StructField("date", T.DateType()), *sorted(fields, key=lambda f: k.index(f.name)),
+                           T.StructField("predicted", T.DoubleType())])
+    return rows.groupBy("__bucket").applyInPandas(run, schema)

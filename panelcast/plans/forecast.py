@@ -13,7 +13,7 @@ from panelcast.operators import features as FE
 from panelcast.operators import baselines as BL
 from panelcast.operators import metrics as M
 from panelcast.operators import models as MD
-from panelcast.operators.recursive import recursive_forecast
+from panelcast.operators.recursive import recursive_forecast, recursive_states
 from panelcast.sources.tables import joined_sales
 from panelcast.sources.sinks import write_predictions
 from panelcast.session import cut_lineage
@@ -46,9 +46,13 @@ def run_forecast(data: DataFrame, cfg: ForecastConfig, output_path: str | None =
     fb = BL.trend_forecast(panel, panel, cfg, cfg.train_start, cfg.train_end, out_col="fb_feature") \
         if cfg.use_trend_feature else None
     md = MD.create_datasets(matrix, cfg, fb)
-    model = MD.train_gbt(md, cfg)
     groups = P.distinct_groups(md.predict, cfg.keys)
-    lgb = recursive_forecast(model, md.predict, panel, md.feature_cols, cfg)
+    if cfg.gbt_engine == "mllib":
+        model = MD.train_gbt(md, cfg)
+        lgb = recursive_forecast(model, md.predict, panel, md.feature_cols, cfg)
+    else:
+        model = MD.train_boosted(md, cfg)
+        lgb = recursive_states(model, md.predict, panel, md.feature_cols, cfg)
     actual = md.predict.select("date", *cfg.keys, cfg.target)
     # groups x horizon rows each: materialise once, so the completeness checks
     # and the blend do not run the recursion / baselines a second time

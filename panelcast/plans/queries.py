@@ -699,17 +699,39 @@ def _forecast(spark, sf):
 @register("o41_train_gbt")
 def q_gbt(spark, sf):
     """Validation-split predictions of the fitted boosted model."""
+    from panelcast.operators import boosting as GB
     from panelcast.operators import models as MD
     fc = _forecast(spark, sf)
-    te = MD.with_features(fc.datasets.test, fc.feature_cols)
-    return fc.model.transform(te).select("date", *K, "sales", MD.back_transform("prediction").alias("predicted"))
+    return GB.score_frame(fc.model, fc.datasets.test, ["date", *K, "sales"]) \
+        .select("date", *K, "sales", MD.back_transform("prediction").alias("predicted"))
+
+
+@register("o41_metric_curve")
+def q_curve(spark, sf):
+    """Training and validation error of every round; the rounds kept."""
+    return _forecast(spark, sf).model.history_table(spark)
+
+
+@register("o41_node_table")
+def q_nodes(spark, sf):
+    """The fitted trees, one row per node."""
+    return _forecast(spark, sf).model.node_table(spark)
+
+
+@register("o43_row_contributions")
+def q_contributions(spark, sf):
+    """Contributions of all features to each forecast row of the validation month."""
+    from panelcast.operators import boosting as GB
+    fc = _forecast(spark, sf)
+    return GB.contributions(fc.model, fc.datasets.test, ["date", *K])
 
 
 @register("o43_feature_importance")
 def q_importance(spark, sf):
-    from panelcast.operators import models as MD
+    """The 25 features of largest mean absolute contribution."""
+    from panelcast.operators import boosting as GB
     fc = _forecast(spark, sf)
-    return MD.feature_importance(fc.model, fc.feature_cols)
+    return GB.mean_contributions(GB.contributions(fc.model, fc.datasets.test, ["date", *K]), fc.feature_cols)
 
 
 @register("o45_recursive_forecast")

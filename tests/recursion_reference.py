@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from panelcast.config import ForecastConfig, MANUAL_CYCLE_MAX
 from panelcast.functions.calendar import CYCLIC_ORDER
 from panelcast.operators import models as MD
+from panelcast.operators.boosting import BoostedTrees
 from panelcast.operators.recursive import _history_arrays, _p
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -101,7 +102,14 @@ def recursive_forecast_grouped(model, predict_frame: DataFrame, panel: DataFrame
     missing = MD.MISSING
     cyc_order, cyc_max = tuple(CYCLIC_ORDER), dict(MANUAL_CYCLE_MAX)
 
-    ens = export_ensemble(model)
+    if isinstance(model, BoostedTrees):         # takes missing values as they are
+        def score(row):
+            return model.predict("all", row[None, :])[0]
+    else:
+        ens = export_ensemble(model)
+
+        def score(row):
+            return predict(ens, fill(row))[0]
     k = list(cfg.keys)
     lags, compat, mode = tuple(cfg.lags), cfg.compat, cfg.lag_mode
     depth, horizon, start = max(lags), cfg.horizon, cfg.prediction_start
@@ -148,7 +156,7 @@ def recursive_forecast_grouped(model, predict_frame: DataFrame, panel: DataFrame
             raise RuntimeError("prediction start row missing for a group")
         i0 = by_day[days[0]]
         preds = np.full(horizon, np.nan)
-        preds[0] = predict(ens, fill(Xall[i0]))[0]
+        preds[0] = score(Xall[i0])
         if compat:
             row = Xall[i0].copy()
             week_prev, month_prev = int(pdf["week"].iloc[i0]), int(pdf["month"].iloc[i0])
@@ -175,7 +183,7 @@ def recursive_forecast_grouped(model, predict_frame: DataFrame, panel: DataFrame
                     setv(row, f"{c}_sin", np.sin(a))
                     setv(row, f"{c}_cos", np.cos(a))
                 week_prev, month_prev = wk, mo
-                preds[i] = predict(ens, fill(row))[0]
+                preds[i] = score(row)
         else:
             h = pdf["__hist"].iloc[0]
             hist = [] if h is None else [(pd.Timestamp(e["d"]).date(), np.nan if e["v"] is None else float(e["v"]))
@@ -210,7 +218,7 @@ def recursive_forecast_grouped(model, predict_frame: DataFrame, panel: DataFrame
                 setv(row, "week_sales_to_date", wtd)
                 setv(row, "percentage_sold_of_month", ratio(mtd, num("avg_same_month_sales", j)))
                 setv(row, "percentage_sold_of_week", ratio(wtd, num("avg_same_week_sales", j)))
-                preds[i] = predict(ens, fill(row))[0]
+                preds[i] = score(row)
                 last_d, last_ym, last_yw = d, ym, yw
         out = pd.DataFrame({"date": days, "predicted": preds})
         for c in k:

@@ -78,14 +78,20 @@ def _small_model(spark, cfg):
     return m, md, panel
 
 
-@pytest.mark.parametrize("compat,mode", [(False, "positional"), (True, "positional"), (False, "calendar")])
-def test_recursive_engines_agree(spark, compat, mode):
+@pytest.mark.parametrize("engine,compat,mode", [("mllib", False, "positional"), ("histogram", False, "positional"),
+                                                ("histogram", True, "positional"), ("histogram", False, "calendar")])
+def test_recursive_engines_agree(spark, engine, compat, mode):
     from panelcast.config import FIXTURE_CONFIG
+    from panelcast.operators import models as MD
     from panelcast.operators import recursive as R
     from recursion_reference import recursive_forecast_grouped
-    cfg = replace(FIXTURE_CONFIG, compat=compat, lag_mode=mode)
+    cfg = replace(FIXTURE_CONFIG, compat=compat, lag_mode=mode, gbt_max_iter=3, gbt_min_instances=20)
     m, md, panel = _small_model(spark, cfg)
-    a = R.recursive_forecast(m, md.predict, panel, md.feature_cols, cfg).toPandas()
+    if engine == "mllib":
+        a = R.recursive_forecast(m, md.predict, panel, md.feature_cols, cfg).toPandas()
+    else:
+        m = MD.train_boosted(md, cfg)
+        a = R.recursive_states(m, md.predict, panel, md.feature_cols, cfg).toPandas()
     b = recursive_forecast_grouped(m, md.predict, panel, md.feature_cols, cfg).toPandas()
     groups = md.predict.select("hierarchy1_id", "storetype_id").distinct().count()
     assert len(a) == len(b) == groups * cfg.horizon
@@ -98,7 +104,7 @@ def test_recursive_engines_agree(spark, compat, mode):
 def test_forecast_run_blend_is_mean(spark, tmp_path):
     from panelcast.config import FIXTURE_CONFIG
     from panelcast.plans.forecast import forecast_tables
-    cfg = replace(FIXTURE_CONFIG, gbt_max_iter=3)
+    cfg = replace(FIXTURE_CONFIG, gbt_max_iter=3)       # histogram trees
     r = forecast_tables(spark, SF0001, cfg, output_path=str(tmp_path / "out"))
     merged = r.merged.join(r.lgb.select("date", "hierarchy1_id", "storetype_id",
                                         F.col("predicted").alias("gbt")), ["date", "hierarchy1_id", "storetype_id"])
