@@ -24,6 +24,7 @@ from panelcast.functions.scalar import clamp_non_negative, log_transform
 from panelcast.operators import panel as P
 from panelcast.operators import prep as PR
 from panelcast.operators.boosting import BoostedTrees, BoostParams, fit_boosted, name_of
+from panelcast.session import cut_lineage
 
 MISSING = -1.0
 
@@ -34,7 +35,7 @@ class ModelData:
     test: DataFrame
     predict: DataFrame
     feature_cols: list[str]
-    encoded: dict
+    encoder: DataFrame | None
 
 
 def create_datasets(matrix: DataFrame, cfg: ForecastConfig, fb: DataFrame | None = None) -> ModelData:
@@ -52,11 +53,16 @@ def create_datasets(matrix: DataFrame, cfg: ForecastConfig, fb: DataFrame | None
     if cfg.target not in pred.columns:
         pred = pred.withColumn(cfg.target, F.lit(0.0))
     cat = PR.string_columns(train, cols)
-    enc = {}
+    enc = None
     if cat:
-        train, others, enc = PR.target_encode_oof(train, {"test": test, "predict": pred}, cat, cfg.target,
-                                                 cfg.n_folds, cfg.keys)
-        test, pred = others["test"], others["predict"]
+        # one frame for both: they are encoded alike
+        rest = P.filter_date_range(matrix, cfg.test_start, cfg.prediction_end)
+        if cfg.target not in rest.columns:
+            rest = rest.withColumn(cfg.target, F.lit(0.0))
+        train, others, enc = PR.target_encode_oof(train, {"rest": rest}, cat, cfg.target, cfg.n_folds, cfg.keys)
+        train, rest = cut_lineage(train), cut_lineage(others["rest"])
+        test = P.filter_date_range(rest, cfg.test_start, cfg.test_end)
+        pred = P.filter_date_range(rest, cfg.prediction_start, cfg.prediction_end)
         cols = [c + "_tenc" if c in cat else c for c in cols]
     return ModelData(train, test, pred, cols, enc)
 
@@ -97,7 +103,6 @@ def train_gbt(md: ModelData, cfg: ForecastConfig) -> GBTRegressionModel:
     both = with_features(both, md.feature_cols).withColumn("label", log_transform(t))
     # MLlib reads its input several times (split sampling, binning, validation):
     # start it from a checkpoint, not from the encoding joins.
-    from panelcast.session import cut_lineage
     both = cut_lineage(both.select("features", "label", "weight", "__val"))
     gbt = GBTRegressor(featuresCol="features", labelCol="label", weightCol="weight",
                        validationIndicatorCol="__val", maxIter=cfg.gbt_max_iter, stepSize=cfg.gbt_step_size,

@@ -50,80 +50,113 @@ def group_offsets(sizes: DataFrame, keys, n_col: str = "__n", buckets: int | Non
 
 
 def contiguous_folds(df: DataFrame, n_folds: int = 3, keys=KEYS, order: str = "date",
-                     fold_col: str = "fold") -> DataFrame:
+                     fold_col: str = "fold", by=()) -> DataFrame:
     """K-fold without shuffling over rows ordered by (keys, order): the first
     n mod k folds get one extra row (scikit-learn KFold). Position = offset of
-    the group + row number inside the group."""
-    k = list(keys)
+    the group + row number inside the group. With ``by`` (some of the leading
+    keys) every value of it is folded for itself."""
+    by = list(by)
+    k = by + [c for c in keys if c not in by]
     sizes = df.groupBy(*k).agg(F.count(F.lit(1)).alias("__n"))
     offs = group_offsets(sizes, k)
-    total = sizes.agg(F.sum("__n").alias("__total")).withColumn("__one", F.lit(1))
+    whole = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))     # one row per group
+    offs = offs.withColumns({"__total": F.sum("__n").over(whole), "__first": F.min("__offset").over(whole)}).drop("__n")
     w = Window.partitionBy(*k).orderBy(order)
-    x = (df.join(offs, k).withColumn("__pos", F.col("__offset") + F.row_number().over(w) - 1)
-           .withColumn("__one", F.lit(1)).join(F.broadcast(total), "__one"))
+    x = df.join(offs, k).withColumn("__pos", F.col("__offset") - F.col("__first") + F.row_number().over(w) - 1)
     q = F.floor(F.col("__total") / n_folds)
     m = F.col("__total") % n_folds
     big = m * (q + 1)
     fold = F.when(F.col("__pos") < big, F.floor(F.col("__pos") / (q + 1))) \
             .otherwise(m + F.floor(F.try_divide(F.col("__pos") - big, q)))
-    return x.withColumn(fold_col, fold.cast("int")).drop("__n", "__offset", "__pos", "__one", "__total")
+    return x.withColumn(fold_col, fold.cast("int")).drop("__offset", "__first", "__pos", "__total")
+
+
+def hash_folds(df: DataFrame, n_folds: int = 3, keys=KEYS, order: str = "date", fold_col: str = "fold") -> DataFrame:
+    """Folds by value: the MD5 of (keys, order) modulo ``n_folds``. No row needs
+    a position, so nothing is counted, ordered or shuffled."""
+    text = F.concat_ws("|", *[F.col(c).cast("string") for c in [*keys, order]])
+    return df.withColumn(fold_col, (F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % n_folds).cast("int"))
 
 
 # ---------------------------------------------------------------- O40
+def encoder_statistics(tr: DataFrame, cols, target: str, n_folds: int, prior_weight: float = 1.0,
+                       singleton_to_prior: bool = True, by=()) -> DataFrame:
+    """The whole encoder as one table: (by, column, level, fold, enc).
+
+    One unpivot and one map-side combined aggregate give (column, level, fold)
+    sums; a row of the pseudo-column '' stands for all rows, whose sums outside
+    a fold are its prior. Windows over that small table do the rest. Fold -1 is
+    the mean of the folds' encoders, level NULL the prior (for unseen levels).
+    """
+    by, y = list(by), F.col(target)
+    pairs = [F.struct(F.lit(c).alias("column"), F.col(c).alias("level")) for c in cols] + \
+            [F.struct(F.lit("").alias("column"), F.lit("").alias("level"))]
+    sums = (tr.select(*by, "fold", y.alias("__y"), F.explode(F.array(*pairs)).alias("__p"))
+              .groupBy(*by, "__p.column", "__p.level", "fold").agg(F.sum("__y").alias("s"), F.count("__y").alias("n")))
+    # every (column, level) once per fold, whether the fold holds it or not
+    per = sums.where("level is not null").groupBy(*by, "column", "level").agg(
+        F.sum("s").alias("sv"), F.sum("n").alias("nv"),
+        F.map_from_entries(F.collect_list(F.struct("fold", F.struct("s", "n")))).alias("in_fold"))
+    grid = per.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_folds - 1))).alias("fold"))
+    own = F.try_element_at("in_fold", F.col("fold"))
+    grid = grid.select(*by, "column", "level", "fold",
+                       (F.coalesce("sv", F.lit(0.0)) - F.coalesce(own["s"], F.lit(0.0))).alias("s"),
+                       (F.col("nv") - F.coalesce(own["n"], F.lit(0))).alias("n"))
+    prior = F.max(F.when(F.col("column") == "", F.try_divide("s", "n"))).over(Window.partitionBy(*by, "fold"))
+    seen = (F.col("n") > 1) if singleton_to_prior else (F.col("n") > 0)
+    enc = F.when(F.col("column") == "", F.col("__prior")).otherwise(
+        F.when(seen, (F.col("s") + F.col("__prior") * prior_weight) / (F.col("n") + prior_weight)).otherwise(F.col("__prior")))
+    e = grid.withColumn("__prior", prior).select(
+        *by, "column", F.when(F.col("column") != "", F.col("level")).alias("level"), "fold", enc.alias("enc"))
+    mean = e.groupBy(*by, "column", "level").agg(F.lit(-1).alias("fold"), F.avg("enc").alias("enc"))
+    return e.unionByName(mean)
+
+
+def encode_levels(df: DataFrame, encoder: DataFrame, cols, suffix: str, fold_col: str | None = None, by=()) -> DataFrame:
+    """Encoded columns by one join: the distinct combinations of levels (as few
+    as there are groups) look their values up and are laid out in one row each.
+    Unseen levels get the mean prior."""
+    by, cols = list(by), list(cols)
+    key = F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in [*by, *cols]])
+    if fold_col:
+        key = F.concat_ws("\x1f", key, F.col(fold_col).cast("string"))
+    df = df.withColumn("__key", key)
+    fold = F.col(fold_col) if fold_col else F.lit(-1)
+    combos = df.select("__key", *by, fold.alias("fold"), *cols).dropDuplicates(["__key"])
+    long = combos.select("__key", *by, "fold", F.explode(F.array(
+        *[F.struct(F.lit(c).alias("column"), F.col(c).alias("level")) for c in cols])).alias("__p")) \
+        .select("__key", *by, "fold", "__p.column", "__p.level")
+    prior = encoder.where("column = '' and fold = -1").select(*by, F.col("enc").alias("__mp"))
+    long = long.join(encoder.where("column <> ''"), [*by, "column", "level", "fold"], "left")
+    long = long.join(prior, by, "left") if by else long.join(F.broadcast(prior))      # one row
+    wide = long.groupBy("__key").agg(*[
+        F.max(F.when(F.col("column") == c, F.coalesce("enc", "__mp"))).alias(c + suffix) for c in cols])
+    return df.join(wide, "__key", "left").drop("__key")
+
+
 def target_encode_oof(train: DataFrame, others: dict[str, DataFrame], cols, target: str,
                       n_folds: int = 3, keys=KEYS, prior_weight: float = 1.0,
-                      singleton_to_prior: bool = True, suffix: str = "_tenc"):
+                      singleton_to_prior: bool = True, suffix: str = "_tenc", folds: str = "contiguous", by=()):
     """Out-of-fold target means with a prior.
 
     Fold f's encoder is fitted on the train rows outside fold f; its level
     value is (S + prior_f * a) / (N + a), its prior the mean target of those
     rows; levels seen once (and unseen levels) get the prior. Train rows are
     encoded by their own fold's encoder, every other frame by the mean of the
-    k encoders. The fitted statistics are per (level, fold): tiny tables.
+    k encoders. ``folds`` is 'contiguous' (the reference's KFold) or 'hash';
+    ``by`` fits one encoder per value of some leading keys.
 
     Returns (train_encoded, {name: frame_encoded}, encoder_table)."""
-    tr = cut_lineage(contiguous_folds(train, n_folds, keys))
-    y = F.col(target)
-    folds = tr.groupBy("fold").agg(F.sum(y).alias("__sf"), F.count(y).alias("__nf"))
-    allf = folds.agg(F.sum("__sf").alias("__sa"), F.sum("__nf").alias("__na"))
-    fold_ids = tr.sparkSession.range(n_folds).select(F.col("id").cast("int").alias("fold"))
-    pri = (fold_ids.join(folds, "fold", "left").withColumn("__one", F.lit(1))
-                   .join(F.broadcast(allf.withColumn("__one", F.lit(1))), "__one")
-                   .select("fold", F.try_divide(F.col("__sa") - F.coalesce("__sf", F.lit(0.0)),
-                                                F.col("__na") - F.coalesce("__nf", F.lit(0))).alias("__prior")))
-    enc_tables = {}
-    for c in cols:
-        lv = tr.groupBy(c, "fold").agg(F.sum(y).alias("__svf"), F.count(y).alias("__nvf"))
-        tot = lv.groupBy(c).agg(F.sum("__svf").alias("__sv"), F.sum("__nvf").alias("__nv"))
-        # every level once per fold (k is a small constant), then its prior
-        grid = tot.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(n_folds - 1)))) \
-                  .join(F.broadcast(pri), "fold")
-        e = grid.join(lv, [c, "fold"], "left")
-        s = F.col("__sv") - F.coalesce(F.col("__svf"), F.lit(0.0))
-        n = F.col("__nv") - F.coalesce(F.col("__nvf"), F.lit(0))
-        val = (s + F.col("__prior") * prior_weight) / (n + prior_weight)
-        cond = (n > 1) if singleton_to_prior else (n > 0)
-        enc_tables[c] = e.select(c, "fold", F.when(cond, val).otherwise(F.col("__prior")).alias(c + suffix))
-    mean_prior = pri.agg(F.avg("__prior").alias("__mp"))
-    out_train = tr
-    for c, e in enc_tables.items():
-        out_train = out_train.join(e, [c, "fold"], "left")
-    out_train = out_train.withColumn("__one", F.lit(1)).join(
-        F.broadcast(mean_prior.withColumn("__one", F.lit(1))), "__one")
-    for c in cols:
-        out_train = out_train.withColumn(c + suffix, F.coalesce(F.col(c + suffix), F.col("__mp")))
-    out_train = out_train.drop("__one", "__mp")
-    out_other = {}
-    for name, df in others.items():
-        o = df
-        for c, e in enc_tables.items():
-            m = e.groupBy(c).agg(F.avg(c + suffix).alias(c + suffix))
-            o = o.join(m, [c], "left")
-        o = o.withColumn("__one", F.lit(1)).join(F.broadcast(mean_prior.withColumn("__one", F.lit(1))), "__one")
-        for c in cols:
-            o = o.withColumn(c + suffix, F.coalesce(F.col(c + suffix), F.col("__mp")))
-        out_other[name] = o.drop("__one", "__mp")
-    return out_train, out_other, enc_tables
+    if folds == "hash":
+        tr = hash_folds(train, n_folds, keys)
+    elif folds == "contiguous":
+        tr = contiguous_folds(train, n_folds, keys, by=by)
+    else:
+        raise ValueError("folds must be 'contiguous' or 'hash'")
+    tr = cut_lineage(tr)
+    encoder = cut_lineage(encoder_statistics(tr, cols, target, n_folds, prior_weight, singleton_to_prior, by))
+    return (encode_levels(tr, encoder, cols, suffix, "fold", by),
+            {name: encode_levels(df, encoder, cols, suffix, None, by) for name, df in others.items()}, encoder)
 
 
 def string_columns(df: DataFrame, columns) -> list[str]:

@@ -436,7 +436,7 @@ def q_weights(spark, sf):
     return p.select("date", *K, PR.sample_weight(C.weight_cutoff_year, C.prediction_month).alias("weight"))
 
 
-def _te_sql() -> str:
+def _te_sql(hashed: bool = False) -> str:
     enc = []
     for c in K:
         enc.append(f"""
@@ -448,7 +448,12 @@ enc_{c} AS (SELECT t.{c}, p.fold,
          ELSE p.prior END AS e
   FROM tv_{c} t CROSS JOIN pri p LEFT JOIN lv_{c} l ON l.{c} = t.{c} AND l.fold = p.fold),
 mean_{c} AS (SELECT {c}, AVG(e) AS e FROM enc_{c} GROUP BY {c})""")
-    return f"""
+    if hashed:
+        rows = f"""
+folded AS (SELECT date, {O.K}, sales, CAST(CAST('0x' || substr(md5(concat_ws('|', {O.K}, CAST(date AS VARCHAR))), 1, 8) AS BIGINT) % 3
+           AS INTEGER) AS fold FROM panel WHERE {TRAIN_RANGE}),"""
+    else:
+        rows = f"""
 tr AS (SELECT date, {O.K}, sales FROM panel WHERE {TRAIN_RANGE}),
 sizes AS (SELECT {O.K}, COUNT(*) AS n FROM tr GROUP BY {O.K}),
 offs AS (SELECT {O.K}, COALESCE(SUM(n) OVER (ORDER BY {O.K} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off FROM sizes),
@@ -457,14 +462,15 @@ pos AS (SELECT t.*, o.off + ROW_NUMBER() OVER (PARTITION BY t.hierarchy1_id, t.s
         FROM tr t JOIN offs o ON t.hierarchy1_id = o.hierarchy1_id AND t.storetype_id = o.storetype_id),
 folded AS (SELECT p.*, CAST(CASE WHEN pos < (total % 3) * (total // 3 + 1) THEN pos // (total // 3 + 1)
                  ELSE (total % 3) + (pos - (total % 3) * (total // 3 + 1)) // (total // 3) END AS INTEGER) AS fold
-           FROM pos p, tot),
+           FROM pos p, tot),"""
+    return f"""{rows}
 fstats AS (SELECT fold, SUM(sales) AS sf, COUNT(sales) AS nf FROM folded GROUP BY fold),
 allst AS (SELECT SUM(sf) AS sa, SUM(nf) AS na FROM fstats),
 pri AS (SELECT f.fold, (a.sa - f.sf) / (a.na - f.nf) AS prior FROM fstats f, allst a),
 mp AS (SELECT AVG(prior) AS mp FROM pri),""" + ",".join(enc)
 
 
-@register("o40_target_encode_oof", sql(B + "," + _te_sql(), f"""
+TE_SQL = f"""
     SELECT 'train' AS split, f.date, f.hierarchy1_id, f.storetype_id, f.fold,
            eh.e AS hierarchy1_id_tenc, es.e AS storetype_id_tenc
     FROM folded f JOIN enc_hierarchy1_id eh ON f.hierarchy1_id = eh.hierarchy1_id AND f.fold = eh.fold
@@ -474,21 +480,33 @@ mp AS (SELECT AVG(prior) AS mp FROM pri),""" + ",".join(enc)
            CAST(NULL AS INTEGER), COALESCE(mh.e, mp.mp), COALESCE(ms.e, mp.mp)
     FROM panel p CROSS JOIN mp LEFT JOIN mean_hierarchy1_id mh ON p.hierarchy1_id = mh.hierarchy1_id
          LEFT JOIN mean_storetype_id ms ON p.storetype_id = ms.storetype_id
-    WHERE p.date BETWEEN {O.d(C.test_start)} AND {O.d(C.prediction_end)}""",
-    ["hierarchy1_id_tenc", "storetype_id_tenc"]))
-def q_te(spark, sf):
+    WHERE p.date BETWEEN {O.d(C.test_start)} AND {O.d(C.prediction_end)}"""
+TE_COLS = ["hierarchy1_id_tenc", "storetype_id_tenc"]
+
+
+def _encoded(spark, sf, folds):
     p = ctx(spark, sf).panel
     train = P.filter_date_range(p, C.train_start, C.train_end)
     rest = P.filter_date_range(p, C.test_start, C.prediction_end)
-    tr, others, _ = PR.target_encode_oof(train, {"rest": rest}, K, "sales", 3, KEYS)
-    cols = ["hierarchy1_id_tenc", "storetype_id_tenc"]
-    a = tr.select(F.lit("train").alias("split"), "date", *K, "fold", *cols)
+    tr, others, _ = PR.target_encode_oof(train, {"rest": rest}, K, "sales", 3, KEYS, folds=folds)
+    a = tr.select(F.lit("train").alias("split"), "date", *K, "fold", *TE_COLS)
     b = others["rest"].select(
         F.when(F.col("date") <= F.lit(C.test_end).cast("date"), "test").otherwise("predict").alias("split"),
-        "date", *K, F.lit(None).cast("int").alias("fold"), *cols)
+        "date", *K, F.lit(None).cast("int").alias("fold"), *TE_COLS)
     return a.unionByName(b)
 
 
+@register("o40_target_encode_oof", sql(B + "," + _te_sql(), TE_SQL, TE_COLS))
+def q_te(spark, sf):
+    return _encoded(spark, sf, "contiguous")
+
+
+@register("o40_target_encode_hash_folds", sql(B + "," + _te_sql(hashed=True), TE_SQL, TE_COLS))
+def q_te_hash(spark, sf):
+    """O40 with folds by value instead of by position."""
+    return _encoded(spark, sf, "hash")
+
+
 # ---------------------------------------------------------------- O51 / O18 / backtest
 BT = B + "," + O.backtest_ctes()
 FOLD_COLS = ["prediction_period", "train_start", "train_end", "test_start", "test_end", "prediction_start",
