@@ -1,8 +1,8 @@
 """Rolling-origin backtests.
 
-The fold table has one row per fold; features and baselines for all folds
-are built in one job by joining the fold table to the daily sums (fold id
-becomes part of every key). Only the boosted model is fitted per fold.
+The fold table has one row per fold; features, baselines and boosted models of
+all folds are built at once by joining the fold table to the daily sums (fold
+id becomes part of every key).
 """
 
 from __future__ import annotations
@@ -20,6 +20,15 @@ FOLD_DATE_COLUMNS = ("train_start", "train_end", "test_start", "test_end",
                      "prediction_start", "prediction_end")
 
 
+def _fold_dates(ends: DataFrame, train_start: dt.date) -> DataFrame:
+    return (ends.withColumn("prediction_start", F.date_add(F.add_months("prediction_end", -1), 1))
+                .withColumn("test_start", F.date_add(F.add_months("prediction_end", -2), 1))
+                .withColumn("test_end", F.date_sub("prediction_start", 1))
+                .withColumn("train_end", F.date_sub("test_start", 1))
+                .withColumn("train_start", F.lit(train_start).cast("date"))
+                .select(F.col("prediction_end").alias("prediction_period"), *FOLD_DATE_COLUMNS))
+
+
 def backtest_folds(spark: SparkSession, first_end: dt.date, last_end: dt.date,
                    train_start: dt.date) -> DataFrame:
     """One row per month end in [first_end, last_end]; derived dates use
@@ -28,14 +37,16 @@ def backtest_folds(spark: SparkSession, first_end: dt.date, last_end: dt.date,
         F.explode(F.sequence(F.trunc(F.lit(first_end).cast("date"), "month"),
                              F.trunc(F.lit(last_end).cast("date"), "month"),
                              F.expr("INTERVAL 1 MONTH"))).alias("m"))
-    e = F.last_day("m")
-    return (base.select(e.alias("prediction_end"))
-                .withColumn("prediction_start", F.date_add(F.add_months("prediction_end", -1), 1))
-                .withColumn("test_start", F.date_add(F.add_months("prediction_end", -2), 1))
-                .withColumn("test_end", F.date_sub("prediction_start", 1))
-                .withColumn("train_end", F.date_sub("test_start", 1))
-                .withColumn("train_start", F.lit(train_start).cast("date"))
-                .select(F.col("prediction_end").alias("prediction_period"), *FOLD_DATE_COLUMNS))
+    return _fold_dates(base.select(F.last_day("m").alias("prediction_end")), train_start)
+
+
+def sales_folds(sales: DataFrame, first_end: dt.date, last_end: dt.date, train_start: dt.date) -> DataFrame:
+    """O51 from the fact table: a fold for each month up to ``last_end`` that has
+    sales, from the month of ``first_end`` on. The dates are combined map-side."""
+    start = first_end.replace(day=1)
+    ends = (sales.where(F.col("date").between(F.lit(start).cast("date"), F.lit(last_end).cast("date")))
+                 .select(F.last_day("date").alias("prediction_end")).distinct())
+    return _fold_dates(ends, train_start)
 
 
 def validate_folds(folds: DataFrame) -> DataFrame:

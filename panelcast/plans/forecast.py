@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelcast.config import ForecastConfig, FIXTURE_CONFIG
+from panelcast.operators import backtest as BT
 from panelcast.operators import panel as P
 from panelcast.operators import features as FE
 from panelcast.operators import baselines as BL
 from panelcast.operators import metrics as M
 from panelcast.operators import models as MD
+from panelcast.operators import prep as PR
 from panelcast.operators.recursive import recursive_forecast, recursive_states
 from panelcast.sources.tables import joined_sales
 from panelcast.sources.sinks import write_predictions
@@ -89,26 +91,67 @@ def baseline_report(spark: SparkSession, sf_dir: str, cfg: ForecastConfig = FIXT
     return M.mape_by_group(res, models, cfg.target, cfg.keys)
 
 
+def boosted_backtest(data: DataFrame, folds: DataFrame, base: ForecastConfig) -> DataFrame:
+    """O52 with all three models: every fold of the fold table at once.
+
+    ``data`` is the star-joined sales with calendar columns. One feature table
+    carries the fold in every key (each fold's own panel, zero-filled window
+    included); encoders, boosted models and the recursion then work on all
+    folds in the same jobs. Monthly statistics are shared: a month's features
+    come from the month before, which every fold that uses them has seen.
+    Returns (date, K, target, three forecasts, prediction_period).
+    """
+    fold, k = "prediction_period", list(base.keys)
+    cfg = replace(base, keys=(fold, *k))
+    f = F.broadcast(folds)                              # one row per fold
+    last = folds.agg(F.max("test_end")).first()[0]
+    sums = P.daily_sums(data, base.train_start, folds.agg(F.max("prediction_end")).first()[0], base.target, k)
+    panels = cut_lineage(BT.fold_panels(sums, folds, base.target, k))
+    known = data.where(F.col("date") <= F.lit(last).cast("date"))
+    matrix = FE.assemble_features(FE.panel_features(panels, cfg), FE.categorical_features(known, base.share_features, base.target, k),
+                                  FE.product_features(known, k), k)
+    matrix = cut_lineage(matrix.join(f, fold))
+    in_range = {n: F.col("date").between(F.col(f"{n}_start"), F.col(f"{n}_end")) for n in ("train", "test", "prediction")}
+    drop = [c for c in folds.columns if c != fold]
+    train = matrix.where(in_range["train"]).withColumn(
+        "weight", PR.sample_weight(base.weight_cutoff_year, F.month("prediction_start"))).drop(*drop)
+    rest = matrix.where(in_range["test"] | in_range["prediction"]).withColumn("__test", in_range["test"]).drop(*drop)
+    cols = PR.train_columns([c for c in matrix.columns if c not in folds.columns], base.except_cols)
+    cat = PR.string_columns(train, cols)
+    train, others, encoder = PR.target_encode_oof(train, {"rest": rest}, cat, base.target, base.n_folds, cfg.keys, by=[fold])
+    cols = [c + "_tenc" if c in cat else c for c in cols]
+    rest = cut_lineage(others["rest"])
+    test, pred = (rest.where(c).drop("__test") for c in ("__test", "not __test"))
+    model = MD.train_boosted(MD.ModelData(cut_lineage(train), test, pred, cols, encoder), cfg, fit_col=fold)
+    lgb = recursive_states(model, pred, panels, cols, cfg, fit_col=fold)
+    res = cut_lineage(MD.combine_results(lgb, BT.backtest_baselines(panels, folds, base.target, k), cfg.keys))
+    if res.count() != pred.count():
+        raise RuntimeError("backtest: forecasts and prediction windows differ in their rows")
+    return res.select("date", *k, base.target, *M.MODEL_COLUMNS.values(), fold)
+
+
 def rolling_backtest(data: DataFrame, first_end, last_end, base: ForecastConfig,
                      results_path: str | None = None) -> DataFrame:
-    """E2 / O52 with the boosted model: for every month end in
-    [first_end, last_end] run the forecast with the derived fold dates, tag
-    it with `prediction_period` and union the folds. The fold table has one
-    row per fold (a handful), the only thing the driver reads; each fold's
-    work is distributed. Optionally appended to a results table (O06)."""
-    from panelcast.operators import backtest as BT
+    """E2 / O52 with the boosted model: a forecast for every month end in
+    [first_end, last_end], tagged with `prediction_period`, optionally appended
+    to a results table (O06). Histogram trees take all folds at once; with
+    MLlib trees the folds (a handful of rows, read by the driver) run one
+    after another."""
     from panelcast.sources.sinks import append_results
     spark = data.sparkSession
     folds = BT.backtest_folds(spark, first_end, last_end, base.train_start)
     bad = BT.validate_folds(folds).count()
     if bad:
         raise ValueError(f"{bad} backtest folds violate the date order")
-    out = None
-    for period, cfg in BT.fold_configs(folds.orderBy("prediction_period").collect(), base):
-        fold_data = P.filter_date_range(data, cfg.train_start, cfg.prediction_end)
-        r = run_forecast(fold_data, cfg)
-        part = cut_lineage(r.merged.withColumn("prediction_period", F.lit(period).cast("date")))
-        out = part if out is None else out.unionByName(part)
+    if base.gbt_engine == "mllib":
+        out = None
+        for period, cfg in BT.fold_configs(folds.orderBy("prediction_period").collect(), base):
+            r = run_forecast(P.filter_date_range(data, cfg.train_start, cfg.prediction_end), cfg)
+            part = cut_lineage(r.merged.withColumn("prediction_period", F.lit(period).cast("date")))
+            out = part if out is None else out.unionByName(part)
+    else:
+        whole = base.with_dates(prediction_end=last_end)
+        out = boosted_backtest(P.prepare_data(data, whole), folds, base)
     if results_path:
         append_results(out, results_path)
     return out

@@ -236,8 +236,8 @@ folds AS (
          CAST(CAST(e - INTERVAL 1 MONTH AS DATE) + 1 - 1 AS DATE) AS test_end,
          CAST(CAST(e - INTERVAL 1 MONTH AS DATE) + 1 AS DATE) AS prediction_start,
          e AS prediction_end
-  FROM (SELECT CAST(last_day(CAST(m AS DATE)) AS DATE) AS e
-        FROM generate_series(TIMESTAMP '{first_end}', TIMESTAMP '{last_end}', INTERVAL 1 MONTH) t(m)) x)
+  FROM (SELECT DISTINCT CAST(last_day(date) AS DATE) AS e FROM sales
+        WHERE date >= DATE '{first_end}' AND date <= last_day(DATE '{last_end}')) x)
 """
 
 

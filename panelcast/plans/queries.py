@@ -514,24 +514,25 @@ FOLD_COLS = ["prediction_period", "train_start", "train_end", "test_start", "tes
 FIRST_END, LAST_END = dt.date(2001, 2, 28), dt.date(2001, 7, 31)
 
 
-def _folds(spark):
-    return BT_.backtest_folds(spark, FIRST_END, LAST_END, C.train_start)
+def _folds(spark, sf):
+    return BT_.sales_folds(sales_df(spark, sf, FIRST_END.replace(day=1), LAST_END), FIRST_END, LAST_END, C.train_start)
 
 
 from panelcast.operators import backtest as BT_  # noqa: E402
 
 
-@register("o51_backtest_folds", sql(O.folds_cte(), f"SELECT {', '.join(FOLD_COLS)} FROM folds"))
+@register("o51_backtest_folds", sql(B + "," + O.folds_cte(), f"SELECT {', '.join(FOLD_COLS)} FROM folds"))
 def q_folds(spark, sf):
-    return _folds(spark)
+    """Fold dates of the months with sales."""
+    return _folds(spark, sf)
 
 
-@register("o18_validate_folds", sql(O.folds_cte(), f"""SELECT prediction_period,
+@register("o18_validate_folds", sql(B + "," + O.folds_cte(), f"""SELECT prediction_period,
     COALESCE(prediction_end >= prediction_start AND prediction_start > test_end AND test_end >= test_start
              AND test_start > train_end AND train_end >= train_start
              AND datediff('day', test_end, prediction_start) >= 1, FALSE) AS valid FROM folds"""))
 def q_validate(spark, sf):
-    f = _folds(spark)
+    f = _folds(spark, sf)
     bad = BT_.validate_folds(f).select("prediction_period", F.lit(False).alias("valid"))
     good = f.select("prediction_period").join(bad.select("prediction_period"), "prediction_period", "left_anti") \
             .withColumn("valid", F.lit(True))
@@ -541,7 +542,7 @@ def q_validate(spark, sf):
 def _bt_results(spark, sf):
     c = ctx(spark, sf)
     if not hasattr(c, "_bt"):
-        folds = _folds(spark)
+        folds = _folds(spark, sf)
         sums = P.daily_sums(c.data, C.train_start, LAST_END)
         panels = BT_.fold_panels(sums, folds)
         c._bt = BT_.backtest_baselines(panels, folds).persist()
@@ -557,6 +558,51 @@ def q_bt(spark, sf):
     return _bt_results(spark, sf)
 
 
+def _boosted(spark, sf):
+    """The backtest with the boosted model, once per session and table folder."""
+    c = ctx(spark, sf)
+    if not hasattr(c, "_boosted"):
+        from panelcast.plans.forecast import boosted_backtest
+        c._boosted = boosted_backtest(c.data, _folds(spark, sf), C)
+    return c._boosted
+
+
+@register("o52_backtest_boosted")
+def q_bt_boosted(spark, sf):
+    """Three models for all six folds, the boosted ones fitted at once."""
+    return _boosted(spark, sf)
+
+
+@register("o53_mape_three_models")
+def q_mape3(spark, sf):
+    return M.mape_by_group(_boosted(spark, sf), keys=["prediction_period"])
+
+
+def _scores3(spark, sf):
+    from panelcast.plans.forecast import score_results
+    return score_results(_boosted(spark, sf), C)
+
+
+@register("o56_score_by_period_three_models")
+def q_by_period3(spark, sf):
+    return _scores3(spark, sf)["by_period"]
+
+
+@register("o57_score_by_group_three_models")
+def q_by_group3(spark, sf):
+    return _scores3(spark, sf)["by_group"]
+
+
+@register("o58_mape_by_group_three_models")
+def q_mape_group3(spark, sf):
+    return _scores3(spark, sf)["mape_by_group"]
+
+
+@register("o59_column_totals_three_models")
+def q_totals3(spark, sf):
+    return _scores3(spark, sf)["totals"]
+
+
 BT_MODELS = {"seasonal_average": "predicted_seasonal_average", "fbprophet": "predicted_fbprophet"}
 
 

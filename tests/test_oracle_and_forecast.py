@@ -135,3 +135,19 @@ def test_rolling_backtest_with_model(spark, tmp_path):
     assert sc["by_period"].count() == 2
     assert set(sc["by_group"].columns) >= {"mape_lgb", "mape_fbprophet", "mape_seasonal_average"}
     assert spark.read.parquet(str(tmp_path / "res")).count() == res.count()
+
+
+def test_backtest_of_all_folds_equals_single_runs(spark):
+    from panelcast.config import FIXTURE_CONFIG
+    from panelcast.plans.forecast import rolling_backtest, run_forecast
+    from panelcast.sources.tables import joined_sales
+    cfg = replace(FIXTURE_CONFIG, gbt_max_iter=2)
+    data = joined_sales(spark, SF0001)
+    both = rolling_backtest(data, dt.date(2001, 5, 31), dt.date(2001, 7, 31), cfg).toPandas()
+    # prediction window 2001-07-01 .. 07-31 is the last fold's
+    one = run_forecast(data, cfg).merged.toPandas()
+    on = ["date", "hierarchy1_id", "storetype_id"]
+    j = both[both.prediction_period == dt.date(2001, 7, 31)].merge(one, on=on, suffixes=("", "_one"))
+    assert len(j) == len(one) > 0
+    for c in ("sales", "lgb_predicted", "predicted_seasonal_average", "predicted_fbprophet"):
+        assert (j[c] - j[c + "_one"]).abs().max() < 1e-9
