@@ -71,7 +71,7 @@ class ForecastConfig:
     gbt_min_instances: int = 50
     gbt_validation_tol: float = 1e-4
     seed: int = 42
-    # Trend model behind 'predicted_fbprophet': 'linear' or 'ridge'.
+    # Trend model behind 'predicted_fbprophet': 'linear', 'ridge' or 'laplace'.
     trend_model: str = "linear"
     use_trend_feature: bool = False
 

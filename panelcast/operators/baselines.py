@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from panelcast.config import ForecastConfig, KEYS
 from panelcast.functions.scalar import clamp_non_negative
+from panelcast.operators.additive import laplace_trend_forecast
 from panelcast.operators.panel import filter_date_range
 
 
@@ -179,6 +180,8 @@ def ridge_trend_forecast(history: DataFrame, apply_to: DataFrame, origin: dt.dat
 def trend_forecast(history: DataFrame, apply_to: DataFrame, cfg: ForecastConfig,
                    fit_start: dt.date, fit_end: dt.date, out_col: str = "predicted_fbprophet") -> DataFrame:
     h = filter_date_range(history, fit_start, fit_end)
+    if cfg.trend_model == "laplace":
+        return laplace_trend_forecast(h, apply_to, cfg.target, cfg.keys, out_col)
     if cfg.trend_model == "ridge":
         return ridge_trend_forecast(h, apply_to, fit_start, fit_end, cfg.target, cfg.keys, out_col)
     return linear_trend_forecast(h, apply_to, fit_start, cfg.target, cfg.keys, out_col)

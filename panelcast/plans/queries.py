@@ -860,6 +860,15 @@ def q_ridge(spark, sf):
                                    C.train_start, C.test_end)
 
 
+@register("o46b_laplace_trend")
+def q_laplace(spark, sf):
+    """Additive trend with a Laplace prior on its changes, weekly and daily season."""
+    from panelcast.operators.additive import laplace_trend_forecast
+    p = ctx(spark, sf).panel
+    return laplace_trend_forecast(P.filter_date_range(p, C.train_start, C.test_end),
+                                  P.filter_date_range(p, C.prediction_start, C.prediction_end))
+
+
 def _scratch(spark, name):
     from panelcast.session import ensure_checkpoint_dir
     import uuid
