@@ -246,6 +246,12 @@ def build_feature_matrix(data: DataFrame, panel: DataFrame, cfg: ForecastConfig)
 
 
 # ---------------------------------------------------------------- O25 / O62
+def group_aggs(df: DataFrame, keys, col: str, hows) -> DataFrame:
+    """Several group helpers in one aggregate."""
+    fn = {"max": F.max, "sum": F.sum, "mean": F.avg, "min": F.min}
+    return df.groupBy(*keys).agg(*[fn[h](col).alias(f"{h}_{col}") for h in hows])
+
+
 def group_agg(df: DataFrame, keys, col: str, how: str = "max", alias: str | None = None) -> DataFrame:
     """Group max / sum / mean helper."""
     fn = {"max": F.max, "sum": F.sum, "mean": F.avg, "min": F.min}[how]

@@ -289,10 +289,10 @@ res AS (SELECT p.date, p.hierarchy1_id, p.storetype_id, p.sales, sa.predicted_se
 """
 
 
-def narrow_stats_sql(columns) -> str:
-    """O02 statistics per column (columns: list of (name, is_float)) over `sales`."""
+def narrow_stats_sql(tables) -> str:
+    """O02 statistics per column (tables: name -> list of (column, is_float))."""
     parts = []
-    for c, is_float in columns:
+    for table, c, is_float in ((t, *x) for t, columns in tables.items() for x in columns):
         x = f"CAST({c} AS DOUBLE)"
         xi = f"round(COALESCE({x}, 0.0))" if is_float else x
         a = f"abs({x})"
@@ -303,13 +303,13 @@ def narrow_stats_sql(columns) -> str:
                f"WHEN {a} = 0 THEN 0.0 ELSE sign({x}) * round_even({a} / {q}, 0) * {q} END)")
         v32 = f"CAST(CAST({x} AS FLOAT) AS DOUBLE)"
         isnull = f"CAST({c} IS NULL AS INTEGER)"
-        parts.append(f"""SELECT '{c}' AS column_name, COUNT(*) AS n_rows, SUM({isnull}) AS n_null,
+        parts.append(f"""SELECT '{table}' AS table_name, '{c}' AS column_name, COUNT(*) AS n_rows, SUM({isnull}) AS n_null,
   COUNT(DISTINCT {x}) + MAX({isnull}) AS n_distinct, MIN({x}) AS min_value, MAX({x}) AS max_value,
   MIN({xi}) AS int_min, MAX({xi}) AS int_max, MAX(abs({xi} - {x})) AS int_max_loss, AVG(abs({xi} - {x})) AS int_avg_loss,
   COUNT(DISTINCT {xi}) AS int_distinct,
   MAX(abs({v16} - {x})) AS f16_max_loss, AVG(abs({v16} - {x})) AS f16_avg_loss, COUNT(DISTINCT {v16}) + MAX({isnull}) AS f16_distinct,
   MAX(abs({v32} - {x})) AS f32_max_loss, AVG(abs({v32} - {x})) AS f32_avg_loss, COUNT(DISTINCT {v32}) + MAX({isnull}) AS f32_distinct
-FROM sales""")
+FROM {table}""")
     return "nstats AS (" + "\nUNION ALL\n".join(parts) + ")"
 
 

@@ -297,10 +297,7 @@ def q_pivot(spark, sf):
 @register("o25_group_aggregates", sql(B, f"""SELECT {O.K}, MAX(sales) AS max_sales, SUM(sales) AS sum_sales,
     AVG(sales) AS mean_sales FROM panel GROUP BY {O.K}""", ["max_sales", "sum_sales", "mean_sales"]))
 def q_group_agg(spark, sf):
-    p = ctx(spark, sf).panel
-    return (FE.group_agg(p, K, "sales", "max", "max_sales")
-            .join(FE.group_agg(p, K, "sales", "sum", "sum_sales"), K)
-            .join(FE.group_agg(p, K, "sales", "mean", "mean_sales"), K))
+    return FE.group_aggs(ctx(spark, sf).panel, K, "sales", ("max", "sum", "mean"))
 
 
 # ---------------------------------------------------------------- baselines
@@ -380,20 +377,52 @@ def q_concat_fc(spark, sf):
 # ---------------------------------------------------------------- O02-O04
 from panelcast.sources import narrow as NR  # noqa: E402
 
-SALES_NUMERIC = [("product_id", False), ("store_id", False), ("sales", True), ("price", True)]
+INPUT_NUMERIC = {
+    "sales": [("product_id", False), ("store_id", False), ("sales", True), ("price", True)],
+    "taxonomy": [("product_id", False), ("product_length", True), ("product_depth", True), ("product_width", True)],
+    "stores": [("store_id", False), ("store_size", True)]}
 NARROW_COLS = ["column_name", "n_rows", "n_null", "n_distinct", "min_value", "max_value", "int_max_loss",
                "int_avg_loss", "f16_max_loss", "f16_avg_loss", "f32_max_loss", "f32_avg_loss", "chosen_type"]
 NARROW_DBL = ["min_value", "max_value", "int_max_loss", "int_avg_loss", "f16_max_loss", "f16_avg_loss",
               "f32_max_loss", "f32_avg_loss"]
 
 
-@register("o02_narrow_schema", sql(B + "," + O.narrow_stats_sql(SALES_NUMERIC),
-                                   f"SELECT {', '.join(NARROW_COLS[:-1])}, {O.narrow_choice_sql()} AS chosen_type FROM nstats",
+def _inputs(spark, sf):
+    from panelcast.sources.tables import stores_df, taxonomy_df
+    return {"sales": sales_df(spark, sf), "taxonomy": taxonomy_df(spark, sf), "stores": stores_df(spark, sf)}
+
+
+@register("o02_narrow_schema", sql(B + "," + O.narrow_stats_sql(INPUT_NUMERIC),
+                                   f"SELECT table_name, {', '.join(NARROW_COLS[:-1])}, {O.narrow_choice_sql()} AS chosen_type FROM nstats",
                                    NARROW_DBL))
 def q_narrow(spark, sf):
-    """Loss statistics and the chosen narrow type per numeric column."""
-    st = NR.narrowing_stats(sales_df(spark, sf), [c for c, _ in SALES_NUMERIC])
-    return NR.choose_types(st).select(*NARROW_COLS)
+    """Loss statistics and the chosen narrow type of every numeric column of the three inputs."""
+    parts = [NR.choose_types(NR.narrowing_stats(df)).select(F.lit(t).alias("table_name"), *NARROW_COLS)
+             for t, df in _inputs(spark, sf).items()]
+    return P.concat_frames(*parts)
+
+
+@register("o02_narrowed_totals", sql(B, """SELECT 'sales' AS table_name, COUNT(*) AS n_rows, SUM(CAST(CAST(sales AS FLOAT) AS DOUBLE)) AS total FROM sales
+    UNION ALL SELECT 'taxonomy', COUNT(*), SUM(product_length) FROM taxonomy
+    UNION ALL SELECT 'stores', COUNT(*), SUM(CAST(CAST(store_size AS FLOAT) AS DOUBLE)) FROM stores""", ["total"]))
+def q_narrowed(spark, sf):
+    """O02 applied: each input cast to its narrow types, then totalled."""
+    total = {"sales": "sales", "taxonomy": "product_length", "stores": "store_size"}
+    parts = []
+    for t, df in _inputs(spark, sf).items():
+        narrowed, _ = NR.narrow_schema(df)
+        parts.append(narrowed.agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("n_rows"),
+                                  F.sum(F.col(total[t]).cast("double")).alias("total")))
+    return P.concat_frames(*parts)
+
+
+@register("o04_encoded_sales", sql(B, """SELECT j.hierarchy1_id, c.code AS hierarchy1_id_code, COUNT(*) AS n_rows FROM joined j
+    JOIN (SELECT value, CAST(DENSE_RANK() OVER (ORDER BY value) - 1 AS INTEGER) AS code
+          FROM (SELECT DISTINCT hierarchy1_id AS value FROM taxonomy)) c ON c.value = j.hierarchy1_id GROUP BY ALL"""))
+def q_encoded(spark, sf):
+    """O04 applied: the joined sales with category codes, counted by code."""
+    return NR.encode_category(ctx(spark, sf).joined, "hierarchy1_id") \
+        .groupBy("hierarchy1_id", "hierarchy1_id_code").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 SALES_COLS = ["date", "product_id", "store_id", "sales", "price", "promo_type_1", "promo_bin_1", "promo_type_2",
@@ -852,6 +881,16 @@ def q_sorted(spark, sf):
     return P.sort_panel(ctx(spark, sf).panel)
 
 
+@register("o61_fill_missing", sql(FEATS, f"""SELECT date, {O.K}, {', '.join(f"COALESCE({c}, 0.0) AS {c}" for c in
+    ('avg_same_month_sales', 'avg_same_week_sales', 'avg_same_day_sales'))} FROM withprior""",
+    ["avg_same_month_sales", "avg_same_week_sales", "avg_same_day_sales"]))
+def q_fill(spark, sf):
+    """Prior-year totals of the panel, missing ones as 0."""
+    cols = ["avg_same_month_sales", "avg_same_week_sales", "avg_same_day_sales"]
+    p = ctx(spark, sf).panel
+    return P.fill_missing(p.select("date", *K, *[FE.prior_year_columns("sales")[c].alias(c) for c in cols]), 0.0, cols)
+
+
 @register("o46b_ridge_trend")
 def q_ridge(spark, sf):
     p = ctx(spark, sf).panel

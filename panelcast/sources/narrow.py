@@ -1,8 +1,12 @@
 """Schema narrowing, column profile, category codes.
 
-All statistics come from one aggregate pass over the frame; the decision
-table has one row per column (bounded by the schema), and only that table
-reaches the driver when the casts are applied.
+Statistics come from a value-frequency table (column, value, n): the frame is
+unpivoted and counted with map-side combine, once for all columns, and every
+null count, distinct count, range and conversion loss is taken from that
+table. Nothing is counted distinct on the frame itself, so its rows are never
+expanded per distinct aggregate. The decision table has one row per column
+(bounded by the schema), and only that table reaches the driver when the casts
+are applied.
 """
 
 from __future__ import annotations
@@ -43,34 +47,46 @@ def _numeric_columns(df: DataFrame, columns=None) -> list[tuple[str, bool]]:
     return out
 
 
+def value_frequencies(df: DataFrame, columns, kind: str) -> DataFrame:
+    """(column_name, value, n): how often every value of every column occurs,
+    NULL included. ``kind`` is the type all values are cast to."""
+    pairs = [F.struct(F.lit(c).alias("column_name"), F.col("`" + c.replace("`", "``") + "`").cast(kind).alias("value"))
+             for c in columns]
+    return (df.select(F.explode(F.array(*pairs)).alias("p")).select("p.*")
+              .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n")))
+
+
 def narrowing_stats(df: DataFrame, columns=None) -> DataFrame:
     """One row per numeric column: null count, distinct count (NULL counted as
     a value), min/max, and per candidate type the max/mean absolute loss and
     the distinct-count loss of the conversion."""
     cols = _numeric_columns(df, columns)
-    aggs = []
-    for c, is_float in cols:
-        x = F.col(f"`{c}`").cast("double")
-        xi = F.round(F.coalesce(x, F.lit(0.0))) if is_float else x
-        v16, v32 = float16_round(x), x.cast("float").cast("double")
-        isnull = F.col(f"`{c}`").isNull().cast("int")
-        aggs.append(F.struct(
-            F.lit(c).alias("column_name"), F.lit(is_float).alias("is_float"),
-            F.count(F.lit(1)).alias("n_rows"), F.sum(isnull).alias("n_null"),
-            (F.count_distinct(x) + F.max(isnull)).alias("n_distinct"),
-            F.min(x).alias("min_value"), F.max(x).alias("max_value"),
-            F.min(xi).alias("int_min"), F.max(xi).alias("int_max"),
-            F.max(F.abs(xi - x)).alias("int_max_loss"), F.avg(F.abs(xi - x)).alias("int_avg_loss"),
-            F.count_distinct(xi).alias("int_distinct"),
-            F.max(F.abs(v16 - x)).alias("f16_max_loss"), F.avg(F.abs(v16 - x)).alias("f16_avg_loss"),
-            (F.count_distinct(v16) + F.max(isnull)).alias("f16_distinct"),
-            F.max(F.abs(v32 - x)).alias("f32_max_loss"), F.avg(F.abs(v32 - x)).alias("f32_avg_loss"),
-            (F.count_distinct(v32) + F.max(isnull)).alias("f32_distinct"),
-        ).alias(f"s{len(aggs)}"))
-    one = df.agg(*aggs) if aggs else None
-    if one is None:
+    if not cols:
         raise ValueError("no numeric columns")
-    return one.select(F.explode(F.array(*[F.col(c) for c in one.columns])).alias("s")).select("s.*")
+    freq = value_frequencies(df, [c for c, _ in cols], "double")
+    x, is_float = F.col("value"), F.col("column_name").isin([c for c, f in cols if f])
+    freq = freq.withColumns({
+        "is_float": is_float,
+        "int": F.when(is_float, F.round(F.coalesce(x, F.lit(0.0)))).otherwise(x),
+        "f16": float16_round(x), "f32": x.cast("float").cast("double")})
+    kinds = ("int", "f16", "f32")
+    losses = []
+    for c in kinds:
+        loss = F.abs(F.col(c) - x)
+        losses += [F.max(loss).alias(f"{c}_max_loss"),
+                   F.try_divide(F.sum(loss * F.col("n")), F.sum(F.when(x.isNotNull(), F.col("n")))).alias(f"{c}_avg_loss")]
+    one = freq.groupBy("column_name", "is_float").agg(
+        F.sum("n").alias("n_rows"), F.coalesce(F.sum(F.when(x.isNull(), F.col("n"))), F.lit(0)).alias("n_null"),
+        F.count(F.lit(1)).alias("n_distinct"), F.min(x).alias("min_value"), F.max(x).alias("max_value"),
+        F.min("int").alias("int_min"), F.max("int").alias("int_max"), *losses)
+    # distinct values after each conversion, counted over the values, not over the rows
+    pairs = F.array(*[F.struct(F.lit(c).alias("kind"), F.col(c).alias("v")) for c in kinds])
+    changed = (freq.select("column_name", F.explode(pairs).alias("p")).select("column_name", "p.*")
+                   .groupBy("column_name", "kind", "v").agg(F.lit(1).alias("one"))
+                   .groupBy("column_name").agg(
+                       F.count(F.when((F.col("kind") == "int") & F.col("v").isNotNull(), 1)).alias("int_distinct"),
+                       *[F.count(F.when(F.col("kind") == c, 1)).alias(f"{c}_distinct") for c in ("f16", "f32")]))
+    return one.join(changed, "column_name")
 
 
 def choose_types(stats: DataFrame, max_loss: float = 0.001, avg_loss: float = 0.001,
@@ -113,15 +129,10 @@ def narrow_schema(df: DataFrame, **limits) -> tuple[DataFrame, DataFrame]:
 
 def column_profile(df: DataFrame) -> DataFrame:
     """Per column, NULL count and distinct count with NULL as a value."""
-    aggs = []
-    for f in df.schema.fields:
-        x = F.col(f"`{f.name}`")
-        aggs.append(F.struct(F.lit(f.name).alias("column_name"),
-                             F.sum(x.isNull().cast("long")).alias("n_null"),
-                             (F.count_distinct(x) + F.max(x.isNull().cast("long"))).alias("n_distinct"))
-                    .alias(f"p_{len(aggs)}"))
-    one = df.agg(*aggs)
-    return one.select(F.explode(F.array(*[F.col(c) for c in one.columns])).alias("p")).select("p.*")
+    freq = value_frequencies(df, df.columns, "string")
+    return freq.groupBy("column_name").agg(
+        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("n_null"),
+        F.count(F.lit(1)).alias("n_distinct"))
 
 
 def category_codes(df: DataFrame, column: str) -> DataFrame:
