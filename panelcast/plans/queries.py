@@ -97,6 +97,23 @@ def q_scan(spark, sf):
     return sales_df(spark, sf)
 
 
+@register("o01_ingest_csv", sql(B, """SELECT 'sales' AS input, COUNT(*) AS n_rows, CAST(0 AS BIGINT) AS n_rejected, SUM(sales) AS total FROM sales
+    UNION ALL SELECT 'taxonomy', COUNT(*), 0, SUM(product_length) FROM taxonomy
+    UNION ALL SELECT 'stores', COUNT(*), 0, SUM(store_size) FROM stores""", ["total"]))
+def q_ingest(spark, sf):
+    """The three inputs written as CSV and ingested again: typed, narrowed, bad rows counted."""
+    from panelcast.sources.files import SCHEMAS, ingest_csv
+    parts = []
+    for (t, df), c in zip(_inputs(spark, sf).items(), ("sales", "product_length", "store_size")):
+        path = _scratch(spark, f"csv-{t}")
+        df.write.option("header", True).csv(path)
+        got = ingest_csv(spark, path, SCHEMAS[t])
+        bad = got.rejected.agg(F.count(F.lit(1)).alias("n_rejected"))
+        parts.append(got.rows.agg(F.lit(t).alias("input"), F.count(F.lit(1)).alias("n_rows"), F.sum(c).alias("total"))
+                     .crossJoin(F.broadcast(bad)).select("input", "n_rows", "n_rejected", "total"))     # one row each
+    return P.concat_frames(*parts)
+
+
 @register("o07_star_join", sql(B, "SELECT * FROM joined",
                                ["sales", "price", "product_length", "product_depth", "product_width", "store_size"]))
 def q_star(spark, sf):
