@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from panelcast.config import ForecastConfig, KEYS, DEFAULT_LAGS, SHARE_FEATURES
 from panelcast.functions.calendar import shift_year_month, cyclic_encoding
+from panelcast.session import cut_lineage
 
 
 def _w(keys=KEYS, *extra):
@@ -111,6 +112,69 @@ def first_row_per_group(df: DataFrame, keys=KEYS, order: str = "date") -> DataFr
     return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
 
 
+# ---------------------------------------------------------------- one fact read for O20, O21 and O24
+def fact_aggregates(data: DataFrame, cfg: ForecastConfig) -> DataFrame:
+    """All that later stages need of the fact rows, from one scan: tag, period, K, name, value, total, low, high, n, kinds.
+
+    Every row is unpivoted into tagged entries: the day's target ('day'),
+    and up to ``test_end`` the month's promotion values ('share'), attributes
+    ('stat') and distinct products and stores ('kind'). One map-side combined
+    aggregate over all tags is the only exchange of fact-sized data; the
+    distinct keys are then rolled up to one row per group and month.
+    """
+    k, t = list(cfg.keys), F.col(cfg.target).cast("double")
+    month, none = F.col("year_month"), F.lit("")
+
+    def entry(tag, period, name, value, x):
+        return F.struct(F.lit(tag).alias("tag"), period.alias("period"), F.lit(name).alias("name"), value.alias("value"), x.alias("x"))
+
+    day = entry("day", F.col("date").cast("string"), "", none, t)
+    monthly = [entry("share", month, f, F.coalesce(F.col(f).cast("string"), F.lit("nan")), t) for f in cfg.share_features]
+    monthly += [entry("stat", month, c, none, F.col(c).cast("double")) for c in PRODUCT_STAT_COLUMNS]
+    monthly += [entry("kind", month, c, F.col(c).cast("string"), F.lit(None).cast("double")) for c in ("product_id", "store_id")]
+    known = (F.col("date") <= F.lit(cfg.test_end).cast("date")) & month.isNotNull()
+    fine = (data.dropna(subset=k)
+            .select(*k, F.explode(F.when(known, F.array(day, *monthly)).otherwise(F.array(day))).alias("e")).select(*k, "e.*")
+            .groupBy("tag", "period", *k, "name", "value")
+            .agg(F.sum("x").alias("total"), F.min("x").alias("low"), F.max("x").alias("high"), F.count("x").alias("n")))
+    value = F.when(F.col("tag") == "kind", none).otherwise(F.col("value"))
+    return (fine.groupBy("tag", "period", *k, "name", value.alias("shown"))
+                .agg(F.sum("total").alias("total"), F.min("low").alias("low"), F.max("high").alias("high"),
+                     F.sum("n").alias("n"), F.count("value").alias("kinds"))
+                .withColumnRenamed("shown", "value"))
+
+
+def daily_from(facts: DataFrame, cfg: ForecastConfig) -> DataFrame:
+    """Daily sums (as ``panel.daily_sums``) out of the fact aggregates."""
+    return facts.where("tag = 'day' and period is not null").select(
+        F.col("period").cast("date").alias("date"), *cfg.keys, F.coalesce("total", F.lit(0.0)).alias(cfg.target))
+
+
+def shares_from(facts: DataFrame, cfg: ForecastConfig, shift: int = 1) -> DataFrame:
+    """Long shares (as ``share_long``) out of the fact aggregates."""
+    k = list(cfg.keys)
+    x = facts.where("tag = 'share'").withColumn("__x", F.coalesce("total", F.lit(0.0)))
+    whole = F.sum("__x").over(Window.partitionBy("period", *k, "name"))
+    return x.select(shift_year_month("period", shift).alias("year_month"), *k, F.col("name").alias("feature"), "value",
+                    F.coalesce(F.try_divide("__x", whole), F.lit(0.0)).alias("share"))
+
+
+def product_features_from(facts: DataFrame, cfg: ForecastConfig, shift: int = 1) -> DataFrame:
+    """Monthly statistics (as ``product_features``) out of the fact aggregates."""
+    k = list(cfg.keys)
+
+    def at(name, x):
+        return F.max(F.when(F.col("name") == name, x))
+
+    stats = []
+    for c in PRODUCT_STAT_COLUMNS:
+        stats += [at(c, F.col("low")).alias(f"{c}_min"), at(c, F.try_divide("total", "n")).alias(f"{c}_mean"),
+                  at(c, F.col("high")).alias(f"{c}_max")]
+    kinds = [at(c, F.col("kinds")).alias(n) for c, n in (("product_id", "number_of_products"), ("store_id", "number_of_stores"))]
+    out = facts.where("tag in ('stat', 'kind')").groupBy(*k, "period").agg(*stats, *kinds)
+    return out.select(*k, shift_year_month("period", shift).alias("year_month"), *out.columns[len(k) + 1:])
+
+
 # ---------------------------------------------------------------- O21
 PRODUCT_STAT_COLUMNS = ("product_length", "product_depth", "product_width", "store_size", "price")
 
@@ -187,19 +251,20 @@ def pivot_shares(data: DataFrame, column: str, index=("year_month", *KEYS), valu
     return p
 
 
-def categorical_features(data: DataFrame, features=SHARE_FEATURES, target: str = "sales",
-                         keys=KEYS, shift: int = 1) -> DataFrame:
-    """O24 wide: one column `<value>_<feature>` per seen value, 0 when absent.
-    The pivot column list is the distinct value names (bounded by
-    spark.sql.pivotMaxValues); Spark computes it with one small job."""
+def wide_shares(long: DataFrame, keys=KEYS, names=None) -> DataFrame:
+    """One column `<value>_<feature>` per value, 0 when absent. Without
+    ``names`` the column list is the distinct value names (bounded by
+    spark.sql.pivotMaxValues), which Spark finds with a job of its own."""
     idx = ["year_month", *keys]
-    # months x groups x values rows; kept once because the pivot reads it
-    # twice (value discovery, then the pivot itself)
-    long = share_long(data, features, target, idx, shift).persist()
     named = long.select(*idx, F.concat(F.col("value"), F.lit("_"), F.col("feature")).alias("__name"), "share")
-    wide = named.groupBy(*idx).pivot("__name").agg(F.first("share"))
-    vcols = [c for c in wide.columns if c not in idx]
-    return fill_columns(wide, idx, vcols)
+    wide = named.groupBy(*idx).pivot("__name", names).agg(F.first("share"))
+    return fill_columns(wide, idx, [c for c in wide.columns if c not in idx])
+
+
+def categorical_features(data: DataFrame, features=SHARE_FEATURES, target: str = "sales",
+                         keys=KEYS, shift: int = 1) -> DataFrame:
+    """O24 wide, straight from the fact rows (read twice: value discovery, then the pivot)."""
+    return wide_shares(share_long(data, features, target, ["year_month", *keys], shift), keys)
 
 
 # ---------------------------------------------------------------- O11 / O12
@@ -235,14 +300,15 @@ def panel_features(panel: DataFrame, cfg: ForecastConfig) -> DataFrame:
     return cyclic_encoding(x, cfg.cyclic_mode)
 
 
-def build_feature_matrix(data: DataFrame, panel: DataFrame, cfg: ForecastConfig) -> DataFrame:
-    feats = panel_features(panel, cfg)
+def build_feature_matrix(data: DataFrame, panel: DataFrame, cfg: ForecastConfig, facts: DataFrame | None = None) -> DataFrame:
+    """Panel features plus the monthly ones of the month before. ``facts`` are
+    the written ``fact_aggregates``; without them they are made here."""
+    if facts is None:
+        facts = cut_lineage(fact_aggregates(data, cfg))
     # Monthly features are looked up by the next month, so a prediction window
     # that crosses a month must not see its own first days: rows end at test_end.
-    known = data.where(F.col("date") <= F.lit(cfg.test_end).cast("date"))
-    cat = categorical_features(known, cfg.share_features, cfg.target, cfg.keys)
-    prod = product_features(known, cfg.keys)
-    return assemble_features(feats, cat, prod, cfg.keys)
+    return assemble_features(panel_features(panel, cfg), wide_shares(shares_from(facts, cfg), cfg.keys),
+                             product_features_from(facts, cfg), cfg.keys)
 
 
 # ---------------------------------------------------------------- O25 / O62

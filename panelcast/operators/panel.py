@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from panelcast.config import ForecastConfig, KEYS
 from panelcast.functions.calendar import calendar_columns, CALENDAR_COLUMNS
+from panelcast.session import cut_lineage
 
 
 def _lit_date(d: dt.date) -> Column:
@@ -120,16 +121,18 @@ def prediction_frame(data: DataFrame, test_panel: DataFrame, cfg: ForecastConfig
     return pred.select("date", *keys, *CALENDAR_COLUMNS, cfg.target)
 
 
-def build_panel(data: DataFrame, cfg: ForecastConfig) -> DataFrame:
+def build_panel(data: DataFrame, cfg: ForecastConfig, sums: DataFrame | None = None) -> DataFrame:
     """O20 + O37: train, test and prediction parts in one frame.
 
     One aggregate over [train_start, prediction_end] feeds all three parts,
-    instead of three separate scans and group-bys.
+    instead of three separate scans and group-bys; ``sums`` are its rows, if
+    they are at hand.
     """
     keys = cfg.keys
-    # (date, K) sums: days x groups rows, read by four branches below. Kept
-    # in memory once instead of re-running the fact scan and joins per branch.
-    sums = daily_sums(data, cfg.train_start, cfg.prediction_end, cfg.target, keys).persist()
+    # (date, K) sums: days x groups rows, read by four branches below. Written
+    # once instead of re-running the fact scan and joins per branch.
+    if sums is None:
+        sums = cut_lineage(daily_sums(data, cfg.train_start, cfg.prediction_end, cfg.target, keys))
     in_train = F.col("date").between(_lit_date(cfg.train_start), _lit_date(cfg.train_end))
     in_test = F.col("date").between(_lit_date(cfg.test_start), _lit_date(cfg.test_end))
     hist = calendar_columns(sums.where(in_train | in_test), iso_year=cfg.iso_year) \

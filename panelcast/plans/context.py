@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from panelcast.config import ForecastConfig, FIXTURE_CONFIG
 from panelcast.operators import panel as P
 from panelcast.operators import features as FE
+from panelcast.session import cut_lineage
 from panelcast.sources.tables import joined_sales
 
 _CACHE: dict = {}
@@ -27,11 +28,14 @@ class PanelContext:
         c = self.cfg
         return P.prepare_data(joined_sales(self.spark, self.sf_dir, c.train_start, c.prediction_end), c)
 
+    @cached_property
+    def facts(self) -> DataFrame:
+        return cut_lineage(FE.fact_aggregates(self.data, self.cfg))
+
     @cached_property
     def panel(self) -> DataFrame:
-        # The panel feeds a dozen consumers; keep it in memory (recomputable
-        # from lineage if an executor is lost).
-        return P.build_panel(self.data, self.cfg).persist()
+        # The panel feeds a dozen consumers: written once
+        return cut_lineage(P.build_panel(self.data, self.cfg))
 
     @cached_property
     def features(self) -> DataFrame:
@@ -39,7 +43,7 @@ class PanelContext:
 
     @cached_property
     def matrix(self) -> DataFrame:
-        return FE.build_feature_matrix(self.data, self.panel, self.cfg)
+        return FE.build_feature_matrix(self.data, self.panel, self.cfg, self.facts)
 
 
 def context(spark: SparkSession, sf_dir: str, cfg: ForecastConfig = FIXTURE_CONFIG) -> PanelContext:

@@ -39,10 +39,12 @@ def run_forecast(data: DataFrame, cfg: ForecastConfig, output_path: str | None =
     -> baselines -> blend -> optional write. `data` is the star-joined sales."""
     cfg.validate()
     data = P.prepare_data(data, cfg)
-    panel = P.build_panel(data, cfg).persist()
+    # the only reads of the fact rows; panel and monthly features start from these
+    facts = cut_lineage(FE.fact_aggregates(data, cfg))
+    panel = cut_lineage(P.build_panel(data, cfg, FE.daily_from(facts, cfg)))
     # The feature table is panel-sized and read by every later stage: write it
     # to the checkpoint folder so later plans start from it, not from the scan.
-    matrix = cut_lineage(FE.build_feature_matrix(data, panel, cfg))
+    matrix = cut_lineage(FE.build_feature_matrix(data, panel, cfg, facts))
     # The trend feature only matters when the model uses it (reference quirk
     # Q10: it is computed but left out of the model's columns).
     fb = BL.trend_forecast(panel, panel, cfg, cfg.train_start, cfg.train_end, out_col="fb_feature") \
@@ -116,12 +118,11 @@ def boosted_backtest(data: DataFrame, folds: DataFrame, base: ForecastConfig) ->
     fold, k = "prediction_period", list(base.keys)
     cfg = replace(base, keys=(fold, *k))
     f = F.broadcast(folds)                              # one row per fold
-    last = folds.agg(F.max("test_end")).first()[0]
-    sums = P.daily_sums(data, base.train_start, folds.agg(F.max("prediction_end")).first()[0], base.target, k)
-    panels = cut_lineage(BT.fold_panels(sums, folds, base.target, k))
-    known = data.where(F.col("date") <= F.lit(last).cast("date"))
-    matrix = FE.assemble_features(FE.panel_features(panels, cfg), FE.categorical_features(known, base.share_features, base.target, k),
-                                  FE.product_features(known, k), k)
+    whole = base.with_dates(test_end=folds.agg(F.max("test_end")).first()[0])
+    facts = cut_lineage(FE.fact_aggregates(data, whole))        # the only read of the fact rows
+    panels = cut_lineage(BT.fold_panels(FE.daily_from(facts, whole), folds, base.target, k))
+    matrix = FE.assemble_features(FE.panel_features(panels, cfg), FE.wide_shares(FE.shares_from(facts, whole), k),
+                                  FE.product_features_from(facts, whole), k)
     matrix = cut_lineage(matrix.join(f, fold))
     in_range = {n: F.col("date").between(F.col(f"{n}_start"), F.col(f"{n}_end")) for n in ("train", "test", "prediction")}
     drop = [c for c in folds.columns if c != fold]

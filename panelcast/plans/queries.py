@@ -299,6 +299,22 @@ def q_shares(spark, sf):
     return FE.share_long(ctx(spark, sf).data, SHARE_FEATURES)
 
 
+# months whose source rows end at test_end
+KNOWN = f"year_month <= '{C.prediction_start:%Y-%m}'"
+
+
+@register("o24_shares_of_shared_read", sql(B + "," + O.share_cte(), f"SELECT * FROM shares WHERE {KNOWN}", ["share"]))
+def q_shares_shared(spark, sf):
+    """O24 out of the one fact read that also feeds O20 and O21."""
+    return FE.shares_from(ctx(spark, sf).facts, C)
+
+
+@register("o21_products_of_shared_read", sql(B + "," + O.product_cte(), f"SELECT * FROM prod WHERE {KNOWN}", PROD_DBL))
+def q_prod_shared(spark, sf):
+    """O21 out of the shared fact read."""
+    return FE.product_features_from(ctx(spark, sf).facts, C)
+
+
 @register("o23_pivot_shares", sql(B, f"""SELECT year_month, {O.K},
     a / NULLIF(a + n + r, 0) AS "A", n / NULLIF(a + n + r, 0) AS "N", r / NULLIF(a + n + r, 0) AS "R"
     FROM (SELECT year_month, {O.K},

@@ -77,3 +77,22 @@ def test_monthly_features_end_before_the_prediction_window(spark):
     full, cut = june(data), june(data.where("date <> DATE'2001-05-31'"))
     assert data.where("date = DATE'2001-05-31'").count() > 0 and full.count() > 0
     assert full.exceptAll(cut).isEmpty()
+
+
+def test_features_read_the_fact_once(spark):
+    """One lineitem scan for daily sums, shares and product statistics; none after it."""
+    from conftest import SF0001
+    from panelcast.config import FIXTURE_CONFIG as C
+    from panelcast.operators import features as FE, panel as P
+    from panelcast.session import cut_lineage
+    from panelcast.sources.tables import joined_sales
+
+    def scans(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().count("l_shipdate")
+
+    data = P.prepare_data(joined_sales(spark, SF0001, C.train_start, C.prediction_end), C)
+    plan = FE.fact_aggregates(data, C)
+    assert str(plan._jdf.queryExecution().sparkPlan()).count("FileScan") - 4 == 1      # four dimension scans
+    facts = cut_lineage(plan)
+    panel = P.build_panel(data, C, FE.daily_from(facts, C))
+    assert scans(FE.build_feature_matrix(data, panel, C, facts)) == 0
