@@ -286,22 +286,19 @@ def pack(df: DataFrame, feature_cols, edges: dict, params: BoostParams, fit_col:
         T.StructField(c, T.BinaryType()) for c in ("bins", "y", "w", "valid")]]))
 
 
-class _Block:
-    """One packed block, as the tasks keep it between jobs."""
-
-    def __init__(self, row, n_features, bins):
-        kind = np.uint8 if bins <= 256 else np.uint16
-        self.fit = row["fit"]
-        self.bins = np.frombuffer(row["bins"], kind).reshape(-1, n_features)
-        self.y, self.w = np.frombuffer(row["y"]), np.frombuffer(row["w"])
-        self.valid = np.frombuffer(row["valid"], bool)
-        self.score = np.zeros(len(self.y))
-
-    def scored(self, trees, missing):
-        out = self.score.copy()
-        for t in trees:
-            out += np.array(t.value)[t.leaf_of(self.bins, missing)]
-        return out
+def unpacked(row, n_features, bins):
+    """One packed block as (fit, bins, y, w, valid, score), the form tasks keep between jobs."""
+    kind = np.uint8 if bins <= 256 else np.uint16
+    y = np.frombuffer(row["y"])
+    return (row["fit"], np.frombuffer(row["bins"], kind).reshape(-1, n_features), y, np.frombuffer(row["w"]),
+            np.frombuffer(row["valid"], bool), np.zeros(len(y)))
+
+
+def scored(block, trees, missing):
+    out = block[5].copy()
+    for t in trees:
+        out += np.array(t.value)[t.leaf_of(block[1], missing)]
+    return out
 
 
 def fit_boosted(df: DataFrame, feature_cols, target: str, weight: str, valid: str, params: BoostParams = BoostParams(),
@@ -321,20 +318,23 @@ def fit_boosted(df: DataFrame, feature_cols, target: str, weight: str, valid: st
     edges = bin_edges(df.where(~F.col(valid) & F.col(target).isNotNull()), cols, p, fit_col)
     packed = cut_lineage(pack(df, cols, edges, p, fit_col, target, weight, valid))
     n_features_, bins_ = n_features, p.bins
-    state = packed.rdd.map(lambda r: _Block(r, n_features_, bins_))
-    blocks = state.map(lambda b: len(b.y))
+    state = packed.rdd.map(lambda r: unpacked(r, n_features_, bins_))
+    blocks = state.map(lambda b: len(b[2]))
     tasks = max(1, min(state.getNumPartitions(), -(-blocks.sum() // p.task_rows)))     # small tables in few tasks
     parts = min(sc.defaultParallelism, tasks)
     state = state.coalesce(tasks).persist(StorageLevel.MEMORY_AND_DISK)
-    start = state.map(lambda b: (b.fit, np.array([(b.w * b.y)[~b.valid].sum(), b.w[~b.valid].sum()]))) \
-                 .reduceByKey(lambda a, b: a + b, parts).collectAsMap()
+
+    def sums(b):
+        fit, _, y, w, valid, _ = b
+        return fit, np.array([(w * y)[~valid].sum(), w[~valid].sum()])
+
+    start = state.map(sums).reduceByKey(lambda a, b: a + b, parts).collectAsMap()
     base = {f: float(v[0] / v[1]) for f, v in start.items() if v[1] > 0}
     starts = dict(base)
     state0 = state
 
     def set_base(b):
-        b.score = np.full(len(b.y), starts.get(b.fit, 0.0))
-        return b
+        return (*b[:5], np.full(len(b[2]), starts.get(b[0], 0.0)))
 
     state = state.map(set_base).persist(StorageLevel.MEMORY_AND_DISK)
     trees = {f: [] for f in base}
@@ -403,8 +403,7 @@ def fit_boosted(df: DataFrame, feature_cols, target: str, weight: str, valid: st
             more, done = {f: trees[f][written:] for f in active}, state
 
             def advance(b, more=more):
-                b.score = b.scored(more.get(b.fit, []), missing)
-                return b
+                return (*b[:5], scored(b, more.get(b[0], []), missing))
 
             state = done.map(advance).persist(StorageLevel.MEMORY_AND_DISK)
             state.checkpoint()
@@ -422,30 +421,31 @@ def _level(state, pending, splits, ask, level, p, n_features, parts, errors):
     missing = p.bins - 1
 
     def block(b):
-        if b.fit not in ask and not (errors and b.fit in pending):
+        fit, bins, y, w, valid, _ = b
+        if fit not in ask and not (errors and fit in pending):
             return
-        score = b.scored(pending.get(b.fit, []), missing)
+        score = scored(b, pending.get(fit, []), missing)
         if errors:
-            e = asymmetric_errors(score, b.y)
-            yield (b.fit, -1), np.array([e[~b.valid].sum(), (~b.valid).sum(), e[b.valid].sum(), b.valid.sum()], float)
-        if b.fit not in ask:
+            e = asymmetric_errors(score, y)
+            yield (fit, -1), np.array([e[~valid].sum(), (~valid).sum(), e[valid].sum(), valid.sum()], float)
+        if fit not in ask:
             return
         slot = np.full(2 ** (level + 1), -1, np.int64)
-        slot[ask[b.fit]] = np.arange(len(ask[b.fit]))
-        at = _place(b.bins, splits[b.fit], level, missing)
-        rows = np.flatnonzero((at >= 0) & ~b.valid)
+        slot[ask[fit]] = np.arange(len(ask[fit]))
+        at = _place(bins, splits[fit], level, missing)
+        rows = np.flatnonzero((at >= 0) & ~valid)
         where = slot[at[rows]]
         rows, where = rows[where >= 0], where[where >= 0]
-        g, h = (b.w * (score - b.y))[rows], b.w[rows]
-        n = len(ask[b.fit])
+        g, h = (w * (score - y))[rows], w[rows]
+        n = len(ask[fit])
         for first in range(0, n_features, GROUP):
-            x = b.bins[rows, first:first + GROUP]
+            x = bins[rows, first:first + GROUP]
             k = x.shape[1]
             at_ = ((where[:, None] * k + np.arange(k)) * p.bins + x).ravel()
             size = n * k * p.bins
             out = np.stack([np.bincount(at_, np.repeat(v, k), size) for v in (g, h)] +
                            [np.bincount(at_, minlength=size).astype(float)], axis=-1)
-            yield (b.fit, first), out.reshape(n, k, p.bins, 3)
+            yield (fit, first), out.reshape(n, k, p.bins, 3)
 
     return state.flatMap(block).reduceByKey(lambda a, b: a + b, parts)
 
