@@ -42,6 +42,16 @@ def worker_state(owner: str) -> dict:
     return module.kept
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The given names, with underscores in front until no column of ``df`` has them."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        out.append(name)
+    return out
+
+
 def ascii_lower(col):
     """Lower-case A-Z only, as the contracts ask (``lower`` would touch all letters)."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

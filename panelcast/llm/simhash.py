@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import components, shared_table, worker_state
+from panelcast.llm.common import components, free_names, shared_table, worker_state
 
 STEP = 4
 
@@ -240,8 +240,9 @@ def keep_one(docs: DataFrame, words: int = 4, max_bits: int = 4) -> DataFrame:
     """The rows of ``docs``, all columns, of one document of each component: the
     one with the smallest doc_id. Of rows repeated with that id one stays; rows
     without an id stay unless a component of theirs has an id, one for each text."""
+    keep, text = free_names(docs, "_keep", "_t")
     d = near_duplicates(docs, words, max_bits)
-    stay = d.select(F.col("component_id").alias("_keep")).distinct()
-    rows = docs.withColumn("_t", F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.lit(0).cast("long")))
-    return (rows.join(stay, F.col("doc_id").cast("long").eqNullSafe(F.col("_keep")), "left_semi")
-            .dropDuplicates(["doc_id", "_t"]).select(*docs.columns))
+    stay = d.select(F.col("component_id").alias(keep)).distinct()
+    rows = docs.withColumn(text, F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.lit(0).cast("long")))
+    return (rows.join(stay, F.col("doc_id").cast("long").eqNullSafe(F.col(keep)), "left_semi")
+            .dropDuplicates(["doc_id", text]).select(*docs.columns))

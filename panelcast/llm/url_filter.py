@@ -62,15 +62,18 @@ def rule_index(urls: DataFrame, rules) -> list[tuple]:
     """(token, name, verdict, pattern, site) per rule, under its rarest token.
 
     ``urls`` has an array column ``tokens``; all rows are counted. The counts
-    are one row per rule token at most.
+    are one row per rule token at most. A rule without a token stands under the
+    empty one, which every URL looks up.
     """
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"{len(rules)} rules; the index is broadcast and holds {MAX_RULES} at most")
     known = sorted({t for r in rules for t in r.tokens})
-    hits = F.array_intersect("tokens", F.array(*map(F.lit, known)))
-    counted = urls.select(F.explode(hits).alias("t")).groupBy("t").agg(F.count("*").alias("n")).collect()
-    times = {r["t"]: r["n"] for r in counted}
-    return [(min(r.tokens, key=lambda t: (times.get(t, 0), t)), r.name, r.verdict, r.pattern, r.site) for r in rules]
+    if len(rules) > MAX_RULES:
+        wanted = urls.sparkSession.createDataFrame([(t,) for t in known], "t string")
+        hits = urls.select(F.explode("tokens").alias("t")).groupBy("t").agg(F.count("*").alias("n")).join(wanted, "t")
+    else:
+        hits = urls.select(F.explode(F.array_intersect("tokens", F.array(*map(F.lit, known)).cast("array<string>"))).alias("t")) \
+                   .groupBy("t").agg(F.count("*").alias("n"))
+    times = {r["t"]: r["n"] for r in hits.collect()}
+    return [(min(r.tokens, key=lambda t: (times.get(t, 0), t), default=""), r.name, r.verdict, r.pattern, r.site) for r in rules]
 
 
 def url_verdicts(pages: DataFrame, rules=SITE_RULES + WORD_RULES, default: str = "allow") -> DataFrame:
@@ -81,8 +84,10 @@ def url_verdicts(pages: DataFrame, rules=SITE_RULES + WORD_RULES, default: str =
     fitting one, named in ``pattern_rule``, or ``default``. A null URL or one
     without ``://`` has empty host and path and fits no site rule. Repeated
     rows get equal rows; an empty table gives an empty result; columns other
-    than page_id and url are ignored. URLs are judged once each: equal URLs are
-    combined before the shuffle.
+    than page_id and url are ignored; a null page_id keeps its row. URLs are
+    judged once each: equal URLs are combined before the shuffle. Up to
+    MAX_RULES rules are broadcast, more are joined by token. A rule without a
+    literal token is tried on every URL.
     """
     spark = pages.sparkSession
     url = F.coalesce(F.col("url"), F.lit(""))
@@ -95,8 +100,10 @@ def url_verdicts(pages: DataFrame, rules=SITE_RULES + WORD_RULES, default: str =
                 .withColumn("tokens", F.array_distinct(F.regexp_extract_all("low", F.lit("[a-z0-9]+"), F.lit(0)))))
     index = spark.createDataFrame(rule_index(distinct, rules),
                                   "token string, name string, verdict string, pattern string, site boolean")
-    found = (distinct.select("url", "host", "path", "low", F.explode("tokens").alias("token"))
-             .join(F.broadcast(index), "token")  # at most MAX_RULES rows, see rule_index
+    tokens = F.col("tokens") if all(r.tokens for r in rules) else F.array_union("tokens", F.array(F.lit("")))
+    index = F.broadcast(index) if len(rules) <= MAX_RULES else index
+    found = (distinct.select("url", "host", "path", "low", F.explode(tokens).alias("token"))
+             .join(index, "token")
              .where(F.regexp(F.when(F.col("site"), F.concat("host", "path")).otherwise(F.col("low")), F.col("pattern"))))
     rank = F.struct((-F.length("name")).alias("n"), F.col("name"), F.col("verdict"))
     best = found.groupBy("url").agg(F.min(F.when(F.col("site"), rank)).alias("s"),
