@@ -24,6 +24,7 @@ from panelcast.operators import metrics as M
 from panelcast.operators import backtest as BT
 from panelcast.plans import oracle as O
 from panelcast.plans.context import context
+from panelcast.session import cut_lineage
 from panelcast.sources.tables import sales_df
 
 DIGITS = 4
@@ -607,7 +608,7 @@ def _bt_results(spark, sf):
         folds = _folds(spark, sf)
         sums = P.daily_sums(c.data, C.train_start, LAST_END)
         panels = BT_.fold_panels(sums, folds)
-        c._bt = BT_.backtest_baselines(panels, folds).persist()
+        c._bt = cut_lineage(BT_.backtest_baselines(panels, folds))
     return c._bt
 
 
@@ -816,7 +817,6 @@ def _forecast(spark, sf):
         from panelcast.plans.forecast import run_forecast
         fc = run_forecast(c.joined.where(F.col("date").between(
             F.lit(C.train_start).cast("date"), F.lit(C.prediction_end).cast("date"))), C)
-        from panelcast.session import cut_lineage
         fc.merged = cut_lineage(fc.merged)
         c._fc = fc
     return c._fc
