@@ -59,7 +59,46 @@ def _ids_of_separate(tok, chunks: list[str]) -> list[bytes]:
     return out
 
 
-def word_ids(texts: list[str], path: str, limit: int = 400_000) -> list[bytes]:
+def _known(kind: str, path: str, wanted, limit: int, make) -> dict:
+    """A cache that holds ids of all ``wanted``; ``make`` gives those of a list of new entries.
+
+    Two generations of at most ``limit`` bytes (or what one call wants): when
+    the younger one is full it becomes the older one, and what is asked for
+    again moves over, so frequent entries stay.
+    """
+    state = worker_state("tokens").setdefault(f"{kind} {path}", {"young": {}, "old": {}, "bytes": 0})
+    if state["bytes"] > limit:
+        state.update(young={}, old=state["young"], bytes=0)
+    young, old = state["young"], state["old"]
+    missing = [w for w in wanted if w not in young]
+    new = [w for w in missing if w not in old]
+    young.update({w: old[w] for w in missing if w in old})
+    young.update(zip(new, make(new)))
+    state["bytes"] += 200 * len(missing) + sum(map(len, missing))
+    return young
+
+
+def _byte_letters(path: str) -> dict[int, str]:
+    """The signs by which the byte-level step of a tokenizer writes the letters beyond ASCII."""
+    held = worker_state("tokens")
+    if f"letters {path}" not in held:
+        from tokenizers.pre_tokenizers import ByteLevel
+        step = ByteLevel(add_prefix_space=False, use_regex=False)
+        held[f"letters {path}"] = {c: step.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)}
+    return held[f"letters {path}"]
+
+
+def _ids_of_pieces(tok, pieces: list[str], letters: dict[int, str]) -> list[bytes]:
+    """Ids of plain pieces. They are in normal form and lower case and hold no
+    further cut, so only the merges are left to the library's model."""
+    model = tok.model
+    found = [[t.id for t in model.tokenize(p if p.isascii() else p.translate(letters))] for p in pieces]
+    ids = np.array([i for f in found for i in f], dtype="<u4").tobytes()
+    ends = np.cumsum([4 * len(f) for f in found]).tolist()
+    return [ids[a:b] for a, b in zip([0, *ends], ends)]
+
+
+def word_ids(texts: list[str], path: str, limit: int = 48_000_000) -> list[bytes]:
     """Ids of each text under a tokenizer that drops white space and lower-cases.
 
     A chunk of plain letters, digits and signs is cut further into the pieces
@@ -68,18 +107,16 @@ def word_ids(texts: list[str], path: str, limit: int = 400_000) -> list[bytes]:
     """
     tok = load_tokenizer(path)
     rows = [None if _ODD.search(t) else t.split() for t in texts]
-    wanted = set()
-    for r in rows:
-        if r is not None:
-            wanted.update(r)
-    cache = _cache("word", path, limit, len(wanted))
-    pieces = _cache("piece", path, limit, len(wanted))
-    new = [w for w in wanted if w not in cache]
-    cut = {w: _PIECES.findall(w.lower()) if _PLAIN.fullmatch(w) else [w] for w in new}
-    ask = list({p for ps in cut.values() for p in ps if p not in pieces})
-    pieces.update(zip(ask, _ids_of_separate(tok, ask)))
-    for w, ps in cut.items():
-        cache[w] = b"".join([pieces[p] for p in ps])
+
+    def chunks(new):
+        cut = [_PIECES.findall(w.lower()) if _PLAIN.fullmatch(w) else None for w in new]
+        pieces = _known("piece", path, {p for ps in cut if ps for p in ps}, limit,
+                        lambda some: _ids_of_pieces(tok, some, _byte_letters(path)))
+        other = iter(_ids_of_separate(tok, [w for w, ps in zip(new, cut) if ps is None]))
+        return [next(other) if ps is None else pieces[ps[0]] if len(ps) == 1 else b"".join([pieces[p] for p in ps])
+                for ps in cut]
+
+    cache = _known("word", path, set().union(*[r for r in rows if r]), limit, chunks)
     return [b"".join([cache[w] for w in r]) if r is not None else
             np.array(tok.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes()
             for r, t in zip(rows, texts)]
