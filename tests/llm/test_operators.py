@@ -382,7 +382,7 @@ def test_spotsigs(spark, odd_rows):
 
 
 def test_spotsigs_links_against_all_pairs(spark):
-    from panelcast.llm.spotsigs import edited_fingerprints, similar_sets
+    from panelcast.llm.spotsigs import edited_fingerprints, similar_classes, similar_sets
     r = random.Random(23)
     sets = [frozenset()]
     for n in (1, 2, 4, 5, 6, 9, 10, 25, 80):
@@ -401,8 +401,21 @@ def test_spotsigs_links_against_all_pairs(spark):
     base = words(300, 77)
     docs = [(1, " ".join(base)), (2, " ".join(words(300, 78))), (3, " ".join(base[:285] + words(15, 79))),
             (4, " ".join(base)), (5, " ".join(words(300, 80))), (6, None)]
-    got = {x.doc_id: x.n_similar for x in edited_fingerprints(frame(spark, docs)).collect()}
-    assert got == {1: 1, 2: 0, 3: 1, 4: 1, 5: 0, 6: 0}
+    got = {x.doc_id: x.class_doc_id for x in edited_fingerprints(frame(spark, docs)).collect()}
+    assert got == {1: 1, 2: 2, 3: 1, 4: 1, 5: 5, 6: 6}
+    # classes: components of all pairs, with a chain whose ends are far apart
+    chain = [frozenset(range(500 + 4 * k, 540 + 4 * k)) for k in range(12)]
+    sets = sorted(set(sets) | set(chain), key=sorted)
+    root = list(range(len(sets)))
+    for j, y in enumerate(sets):
+        for i, x in enumerate(sets[:j]):
+            if x and y and 10 * len(x & y) >= 8 * len(x | y):
+                a, b = sorted((root[i], root[j]))
+                root = [a if v == b else v for v in root]
+    linked = {i for i, v in enumerate(root) if root.count(v) > 1}
+    rows = [(i, sorted(x)) for i, x in enumerate(sets) if x]
+    found = similar_classes(spark.createDataFrame(rows + rows[::3], "id long, sigs array<long>")).collect()
+    assert {(x.node, x.root) for x in found} == {(i, root[i]) for i in linked} and len(found) == len(linked)
 
 
 def test_gru_gradients():
