@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from panelcast.config import ForecastConfig, KEYS, DEFAULT_LAGS, SHARE_FEATURES
 from panelcast.functions.calendar import shift_year_month, cyclic_encoding
-from panelcast.session import cut_lineage
+from panelcast.session import cut_lineage, shared_table
 
 
 def _w(keys=KEYS, *extra):
@@ -114,34 +114,51 @@ def first_row_per_group(df: DataFrame, keys=KEYS, order: str = "date") -> DataFr
 
 # ---------------------------------------------------------------- one fact read for O20, O21 and O24
 def fact_aggregates(data: DataFrame, cfg: ForecastConfig) -> DataFrame:
-    """All that later stages need of the fact rows, from one scan: tag, period, K, name, value, total, low, high, n, kinds.
-
-    Every row is unpivoted into tagged entries: the day's target ('day'),
-    and up to ``test_end`` the month's promotion values ('share'), attributes
-    ('stat') and distinct products and stores ('kind'). One map-side combined
-    aggregate over all tags is the only exchange of fact-sized data; the
-    distinct keys are then rolled up to one row per group and month.
+    """All that later stages need of the fact rows, from one read: tag, period, K, name, value, total, low, high, n, kinds.
+
+    The columns in use are written once; every aggregate then reads only its
+    own. The day's target ('day'), the month's promotion values ('share') and
+    attributes ('stat') combine map-side to as many rows as there are groups
+    and periods. Products and stores ('kind') hardly combine, so their distinct
+    keys are the only rows of fact size, and as narrow as they can be. Months
+    end at ``test_end``.
     """
     k, t = list(cfg.keys), F.col(cfg.target).cast("double")
-    month, none = F.col("year_month"), F.lit("")
-
-    def entry(tag, period, name, value, x):
-        return F.struct(F.lit(tag).alias("tag"), period.alias("period"), F.lit(name).alias("name"), value.alias("value"), x.alias("x"))
-
-    day = entry("day", F.col("date").cast("string"), "", none, t)
-    monthly = [entry("share", month, f, F.coalesce(F.col(f).cast("string"), F.lit("nan")), t) for f in cfg.share_features]
-    monthly += [entry("stat", month, c, none, F.col(c).cast("double")) for c in PRODUCT_STAT_COLUMNS]
-    monthly += [entry("kind", month, c, F.col(c).cast("string"), F.lit(None).cast("double")) for c in ("product_id", "store_id")]
-    known = (F.col("date") <= F.lit(cfg.test_end).cast("date")) & month.isNotNull()
-    fine = (data.dropna(subset=k)
-            .select(*k, F.explode(F.when(known, F.array(day, *monthly)).otherwise(F.array(day))).alias("e")).select(*k, "e.*")
-            .groupBy("tag", "period", *k, "name", "value")
-            .agg(F.sum("x").alias("total"), F.min("x").alias("low"), F.max("x").alias("high"), F.count("x").alias("n")))
-    value = F.when(F.col("tag") == "kind", none).otherwise(F.col("value"))
-    return (fine.groupBy("tag", "period", *k, "name", value.alias("shown"))
-                .agg(F.sum("total").alias("total"), F.min("low").alias("low"), F.max("high").alias("high"),
-                     F.sum("n").alias("n"), F.count("value").alias("kinds"))
-                .withColumnRenamed("shown", "value"))
+    used = dict.fromkeys(["date", "year_month", *k, cfg.target, *cfg.share_features, *PRODUCT_STAT_COLUMNS, "product_id", "store_id"])
+    rows = shared_table(data.dropna(subset=k).select(*used), "fact-rows")
+    known = rows.where((F.col("date") <= F.lit(cfg.test_end).cast("date")) & F.col("year_month").isNotNull()) \
+                .withColumn("__period", F.col("year_month"))
+    none = F.lit(None).cast("double")
+    sums = [F.sum("__x").alias("total"), F.min("__x").alias("low"), F.max("__x").alias("high"), F.count("__x").alias("n")]
+
+    def tagged(df, tag, period, name, value, kinds):
+        return df.select(F.lit(tag).alias("tag"), period.alias("period"), *k, name.alias("name"), value.alias("value"),
+                         "total", "low", "high", "n", kinds.alias("kinds"))
+
+    one, empty = F.lit(1).cast("long"), F.lit("")
+    day = tagged(rows.select("date", *k, t.alias("__x")).groupBy("date", *k).agg(*sums),
+                 "day", F.col("date").cast("string"), empty, empty, one)
+
+    values = [F.struct(F.lit(f).alias("name"), F.coalesce(F.col(f).cast("string"), F.lit("nan")).alias("value")) for f in cfg.share_features]
+    share = (known.select("__period", *k, t.alias("__x"), F.explode(F.array(*values)).alias("__e"))
+             .groupBy("__period", *k, "__e.name", "__e.value").agg(*sums))
+    share = tagged(share, "share", F.col("__period"), F.col("name"), F.col("value"), one)
+
+    stats = []
+    for i, c in enumerate(PRODUCT_STAT_COLUMNS):
+        x = F.col(c).cast("double")
+        stats += [F.sum(x).alias(f"__s{i}"), F.min(x).alias(f"__l{i}"), F.max(x).alias(f"__h{i}"), F.count(x).alias(f"__n{i}")]
+    stat = known.groupBy("__period", *k).agg(*stats).select("__period", *k, F.explode(F.array(*[
+        F.struct(F.lit(c).alias("name"), F.col(f"__s{i}").alias("total"), F.col(f"__l{i}").alias("low"),
+                 F.col(f"__h{i}").alias("high"), F.col(f"__n{i}").alias("n")) for i, c in enumerate(PRODUCT_STAT_COLUMNS)])).alias("__e"))
+    stat = tagged(stat.select("__period", *k, "__e.*"), "stat", F.col("__period"), F.col("name"), empty, one)
+
+    out = day.unionByName(share).unionByName(stat)
+    for c in ("product_id", "store_id"):
+        kind = known.select("__period", *k, c).distinct().groupBy("__period", *k).agg(F.count(c).alias("__kinds"))
+        kind = kind.select("*", none.alias("total"), none.alias("low"), none.alias("high"), F.lit(0).cast("long").alias("n"))
+        out = out.unionByName(tagged(kind, "kind", F.col("__period"), F.lit(c), empty, F.col("__kinds")))
+    return out
 
 
 def daily_from(facts: DataFrame, cfg: ForecastConfig) -> DataFrame:

@@ -1,7 +1,9 @@
 """Plan-shape checks: the scale properties the design relies on."""
 
 import contextlib
+import datetime as dt
 import io
+import os
 
 from conftest import SF001
 from panelcast.config import FIXTURE_CONFIG as C
@@ -96,3 +98,40 @@ def test_features_read_the_fact_once(spark):
     facts = cut_lineage(plan)
     panel = P.build_panel(data, C, FE.daily_from(facts, C))
     assert scans(FE.build_feature_matrix(data, panel, C, facts)) == 0
+
+
+def test_fact_aggregates_combine_before_they_are_dealt(spark):
+    """Products and stores are not unpivoted with the sums, and the fact rows are read from one written table."""
+    from conftest import SF0001
+    from panelcast.config import FIXTURE_CONFIG as C
+    from panelcast.operators import features as FE, panel as P
+    from panelcast.sources.tables import joined_sales
+    facts = FE.fact_aggregates(P.prepare_data(joined_sales(spark, SF0001, C.train_start, C.prediction_end), C), C)
+    plan = facts._jdf.queryExecution().optimizedPlan().toString()
+    unpivots = [x for x in plan.splitlines() if "Generate" in x]
+    assert unpivots and not any("product_id" in x or "store_id" in x for x in unpivots)
+    assert "l_shipdate" not in plan
+    assert len({os.path.dirname(f) for f in facts.inputFiles()}) == 1
+
+
+def test_fact_aggregates_of_rows_with_nulls_and_repeats(spark):
+    from dataclasses import replace
+    from panelcast.config import FIXTURE_CONFIG
+    from panelcast.operators import features as FE
+    cfg = replace(FIXTURE_CONFIG, share_features=("city_id",))
+    names = ("date date, year_month string, hierarchy1_id string, storetype_id string, sales double, city_id string, product_id long, "
+             "store_id long, product_length double, product_depth double, product_width double, store_size double, price double")
+    d, late = dt.date(2001, 6, 1), dt.date(2001, 7, 2)
+    a = (d, "2001-06", "A", "S", 2.0, "x", 1, 7, 1.0, None, 1.0, 5.0, 3.0)
+    rows = [a, a, (d, "2001-06", "A", "S", None, None, 2, None, 4.0, None, 1.0, 5.0, 9.0), (d, "2001-06", None, "S", 9.0, *a[5:]),
+            (late, "2001-07", "A", "S", 1.0, *a[5:]), (None, None, "A", "S", 4.0, *a[5:])]
+    got = {(r["tag"], r["period"], r["name"], r["value"]): (r["total"], r["low"], r["high"], r["n"], r["kinds"])
+           for r in FE.fact_aggregates(spark.createDataFrame(rows, names), cfg).collect()}
+    assert got == {
+        ("day", "2001-06-01", "", ""): (4.0, 2.0, 2.0, 2, 1), ("day", "2001-07-02", "", ""): (1.0, 1.0, 1.0, 1, 1),
+        ("day", None, "", ""): (4.0, 4.0, 4.0, 1, 1),
+        ("share", "2001-06", "city_id", "x"): (4.0, 2.0, 2.0, 2, 1), ("share", "2001-06", "city_id", "nan"): (None, None, None, 0, 1),
+        ("stat", "2001-06", "product_length", ""): (6.0, 1.0, 4.0, 3, 1), ("stat", "2001-06", "product_depth", ""): (None, None, None, 0, 1),
+        ("stat", "2001-06", "product_width", ""): (3.0, 1.0, 1.0, 3, 1), ("stat", "2001-06", "store_size", ""): (15.0, 5.0, 5.0, 3, 1),
+        ("stat", "2001-06", "price", ""): (15.0, 3.0, 9.0, 3, 1),
+        ("kind", "2001-06", "product_id", ""): (None, None, None, 0, 2), ("kind", "2001-06", "store_id", ""): (None, None, None, 0, 1)}
