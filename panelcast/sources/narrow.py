@@ -49,11 +49,14 @@ def _numeric_columns(df: DataFrame, columns=None) -> list[tuple[str, bool]]:
 
 def value_frequencies(df: DataFrame, columns, kind: str) -> DataFrame:
     """(column_name, value, n): how often every value of every column occurs,
-    NULL included. ``kind`` is the type all values are cast to."""
-    pairs = [F.struct(F.lit(c).alias("column_name"), F.col("`" + c.replace("`", "``") + "`").cast(kind).alias("value"))
-             for c in columns]
-    return (df.select(F.explode(F.array(*pairs)).alias("p")).select("p.*")
-              .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n")))
+    NULL included. ``kind`` is the type all values are cast to. Columns are
+    counted by their place, which makes shorter keys than their names."""
+    columns = list(columns)
+    values = F.array(*[F.col("`" + c.replace("`", "``") + "`").cast(kind) for c in columns])
+    name = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("pos") + 1)
+    return (df.select(F.posexplode(values).alias("pos", "value"))
+              .groupBy("pos", "value").agg(F.count(F.lit(1)).alias("n"))
+              .select(name.alias("column_name"), "value", "n"))
 
 
 def narrowing_stats(df: DataFrame, columns=None) -> DataFrame:
@@ -80,12 +83,13 @@ def narrowing_stats(df: DataFrame, columns=None) -> DataFrame:
         F.count(F.lit(1)).alias("n_distinct"), F.min(x).alias("min_value"), F.max(x).alias("max_value"),
         F.min("int").alias("int_min"), F.max("int").alias("int_max"), *losses)
     # distinct values after each conversion, counted over the values, not over the rows
+    # (``n`` keeps the frequencies the same rows here and above, so both read one exchange)
     pairs = F.array(*[F.struct(F.lit(c).alias("kind"), F.col(c).alias("v")) for c in kinds])
-    changed = (freq.select("column_name", F.explode(pairs).alias("p")).select("column_name", "p.*")
-                   .groupBy("column_name", "kind", "v").agg(F.lit(1).alias("one"))
+    changed = (freq.select("column_name", "n", F.explode(pairs).alias("p")).select("column_name", "n", "p.*")
+                   .groupBy("column_name", "kind", "v").agg(F.max("n").alias("n"))
                    .groupBy("column_name").agg(
-                       F.count(F.when((F.col("kind") == "int") & F.col("v").isNotNull(), 1)).alias("int_distinct"),
-                       *[F.count(F.when(F.col("kind") == c, 1)).alias(f"{c}_distinct") for c in ("f16", "f32")]))
+                       F.count(F.when((F.col("kind") == "int") & F.col("v").isNotNull(), F.col("n"))).alias("int_distinct"),
+                       *[F.count(F.when(F.col("kind") == c, F.col("n"))).alias(f"{c}_distinct") for c in ("f16", "f32")]))
     return one.join(changed, "column_name")
 
 

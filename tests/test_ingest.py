@@ -54,3 +54,14 @@ def test_profile_and_narrowing_expand_no_rows(spark):
     df = sales_df(spark, SF0001)
     for out in (NR.column_profile(df), NR.narrowing_stats(df)):
         assert "Expand" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_narrowing_counts_the_rows_once(spark):
+    """All statistics read one exchange of counted values, whose keys hold no column names."""
+    from panelcast.sources import narrow as NR
+    df = spark.createDataFrame([(1, 0.5), (1, None), (2, 0.25), (2, 1e-9)], "a long, b double")
+    out = NR.narrowing_stats(df)
+    got = {r["column_name"]: (r["n_rows"], r["n_null"], r["n_distinct"], r["int_distinct"], r["f16_distinct"], r["f32_distinct"]) for r in out.collect()}
+    assert got == {"a": (4, 0, 2, 2, 2, 2), "b": (4, 1, 4, 2, 4, 4)}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan and "posexplode" in plan
