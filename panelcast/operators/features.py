@@ -12,6 +12,8 @@ of the raw fact table, so a hot group cannot blow up a task here.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -119,9 +121,9 @@ def fact_aggregates(data: DataFrame, cfg: ForecastConfig) -> DataFrame:
     The columns in use are written once; every aggregate then reads only its
     own. The day's target ('day'), the month's promotion values ('share') and
     attributes ('stat') combine map-side to as many rows as there are groups
-    and periods. Products and stores ('kind') hardly combine, so their distinct
-    keys are the only rows of fact size, and as narrow as they can be. Months
-    end at ``test_end``.
+    and periods, stores ('kind') to one per group and store with its months as
+    bits. Products ('kind') hardly combine, so their narrow keys are the only
+    rows of fact size that are dealt. Months end at ``test_end``.
     """
     k, t = list(cfg.keys), F.col(cfg.target).cast("double")
     used = dict.fromkeys(["date", "year_month", *k, cfg.target, *cfg.share_features, *PRODUCT_STAT_COLUMNS, "product_id", "store_id"])
@@ -154,13 +156,40 @@ def fact_aggregates(data: DataFrame, cfg: ForecastConfig) -> DataFrame:
     stat = tagged(stat.select("__period", *k, "__e.*"), "stat", F.col("__period"), F.col("name"), empty, one)
 
     out = day.unionByName(share).unionByName(stat)
-    for c in ("product_id", "store_id"):
-        kind = known.select("__period", *k, c).distinct().groupBy("__period", *k).agg(F.count(c).alias("__kinds"))
+    for c, kind in (("product_id", dealt_kinds(known, k, "product_id", rows.count())),
+                    ("store_id", masked_kinds(known, k, "store_id", cfg.train_start))):
         kind = kind.select("*", none.alias("total"), none.alias("low"), none.alias("high"), F.lit(0).cast("long").alias("n"))
         out = out.unionByName(tagged(kind, "kind", F.col("__period"), F.lit(c), empty, F.col("__kinds")))
     return out
 
 
+def dealt_kinds(known: DataFrame, keys, c: str, n_rows: int, task_rows: int = 250_000) -> DataFrame:
+    """(__period, K, __kinds): exact number of distinct ``c``, for a column with nearly as many values as rows.
+
+    Such keys do not combine map-side, so the narrow rows are dealt first and
+    told apart behind the exchange. The month is in the key, and a task gets
+    about ``task_rows`` rows whatever the input, which bounds its hash table."""
+    parts = max(known.sparkSession.sparkContext.defaultParallelism, -(-n_rows // task_rows))
+    key = ["__period", *keys, c]
+    return known.select(*key).repartition(parts, *key).distinct().groupBy("__period", *keys).agg(F.count(c).alias("__kinds"))
+
+
+def masked_kinds(known: DataFrame, keys, c: str, first: dt.date) -> DataFrame:
+    """(__period, K, __kinds): exact number of distinct ``c``, for a column whose values come back month after month.
+
+    A value's months are the bits of a number (64 months from ``first`` a row),
+    so rows combine map-side to one per group and value, not per month."""
+    month = (F.substring("__period", 1, 4).cast("int") * 12 + F.substring("__period", 6, 2).cast("int")
+             - F.lit(first.year * 12 + first.month))
+    masks = (known.select(*keys, c, F.shiftright(month, 6).alias("__word"), month.bitwiseAND(F.lit(63)).alias("__bit"))
+             .groupBy(*keys, c, "__word").agg(F.bit_or(F.expr("shiftleft(1L, __bit)")).alias("__mask")))
+    bits = F.filter(F.sequence(F.lit(0), F.lit(63)), lambda b: F.getbit(F.col("__mask"), b) == 1)
+    at = F.col("__word") * 64 + F.col("__bit") + F.lit(first.year * 12 + first.month - 1)
+    return (masks.select(*keys, c, "__word", F.explode(bits).alias("__bit"))
+            .groupBy(*keys, "__word", "__bit").agg(F.count(c).alias("__kinds"))
+            .select(F.format_string("%04d-%02d", F.floor(at / 12), at % 12 + 1).alias("__period"), *keys, "__kinds"))
+
+
 def daily_from(facts: DataFrame, cfg: ForecastConfig) -> DataFrame:
     """Daily sums (as ``panel.daily_sums``) out of the fact aggregates."""
     return facts.where("tag = 'day' and period is not null").select(

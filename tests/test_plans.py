@@ -135,3 +135,31 @@ def test_fact_aggregates_of_rows_with_nulls_and_repeats(spark):
         ("stat", "2001-06", "product_width", ""): (3.0, 1.0, 1.0, 3, 1), ("stat", "2001-06", "store_size", ""): (15.0, 5.0, 5.0, 3, 1),
         ("stat", "2001-06", "price", ""): (15.0, 3.0, 9.0, 3, 1),
         ("kind", "2001-06", "product_id", ""): (None, None, None, 0, 2), ("kind", "2001-06", "store_id", ""): (None, None, None, 0, 1)}
+
+
+def test_kinds_of_months_with_nulls_repeats_and_far_months(spark):
+    """Distinct values a month and group, months more than 64 apart and before the first included."""
+    from panelcast.operators import features as FE
+    rows = [("1996-12", "A", "S", 1), ("1997-01", "A", "S", 1), ("1997-01", "A", "S", 1), ("1997-01", "A", "S", 2),
+            ("1997-01", "A", "T", 2), ("2002-04", "A", "S", 1), ("2002-05", "A", "S", 1), ("2002-05", "A", "S", None),
+            ("2010-12", "B", "S", None), ("1985-01", "B", "S", 7)]
+    known = spark.createDataFrame(rows, "__period string, hierarchy1_id string, storetype_id string, store_id long").repartition(3)
+    keys = ["hierarchy1_id", "storetype_id"]
+    expected = {("1996-12", "A", "S"): 1, ("1997-01", "A", "S"): 2, ("1997-01", "A", "T"): 1, ("2002-04", "A", "S"): 1,
+                ("2002-05", "A", "S"): 1, ("2010-12", "B", "S"): 0, ("1985-01", "B", "S"): 1}
+    for got in (FE.masked_kinds(known, keys, "store_id", dt.date(1997, 1, 1)), FE.dealt_kinds(known, keys, "store_id", len(rows), 4)):
+        assert sorted((*r[:3], r[3]) for r in got.select("__period", *keys, "__kinds").collect()) == \
+            sorted((*k, n) for k, n in expected.items())
+
+
+def test_kinds_are_dealt_in_bounded_tasks(spark):
+    """The tasks that tell products apart grow in number with the rows; stores are not dealt by month."""
+    from panelcast.operators import features as FE
+    known = spark.createDataFrame([("2001-06", "A", "S", 1)], "__period string, hierarchy1_id string, storetype_id string, c long")
+    keys = ["hierarchy1_id", "storetype_id"]
+    cores = spark.sparkContext.defaultParallelism
+    plan = str(FE.dealt_kinds(known, keys, "c", 250_000 * 3 * cores)._jdf.queryExecution().sparkPlan())
+    assert f", {3 * cores}" in plan
+    plan = str(FE.masked_kinds(known, keys, "c", dt.date(1997, 1, 1))._jdf.queryExecution().optimizedPlan())
+    deepest = [x for x in plan.splitlines() if "Aggregate [" in x][-1]
+    assert "bit_or" in deepest and "c#" in deepest.split("]")[0] and "__period" not in deepest.split("]")[0]
