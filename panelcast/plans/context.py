@@ -34,8 +34,9 @@ class PanelContext:
 
     @cached_property
     def panel(self) -> DataFrame:
-        # The panel feeds a dozen consumers: written once
-        return cut_lineage(P.build_panel(self.data, self.cfg))
+        # The panel feeds a dozen consumers: written once, and from the fact aggregates if these are there
+        sums = FE.daily_from(self.facts, self.cfg) if "facts" in self.__dict__ else None
+        return cut_lineage(P.build_panel(self.data, self.cfg, sums))
 
     @cached_property
     def features(self) -> DataFrame:
@@ -43,7 +44,8 @@ class PanelContext:
 
     @cached_property
     def matrix(self) -> DataFrame:
-        return FE.build_feature_matrix(self.data, self.panel, self.cfg, self.facts)
+        facts = self.facts          # before the panel, which then needs no fact read of its own
+        return FE.build_feature_matrix(self.data, self.panel, self.cfg, facts)
 
 
 def context(spark: SparkSession, sf_dir: str, cfg: ForecastConfig = FIXTURE_CONFIG) -> PanelContext:

@@ -163,3 +163,15 @@ def test_kinds_are_dealt_in_bounded_tasks(spark):
     plan = str(FE.masked_kinds(known, keys, "c", dt.date(1997, 1, 1))._jdf.queryExecution().optimizedPlan())
     deepest = [x for x in plan.splitlines() if "Aggregate [" in x][-1]
     assert "bit_or" in deepest and "c#" in deepest.split("]")[0] and "__period" not in deepest.split("]")[0]
+
+
+def test_feature_matrix_takes_its_panel_from_the_fact_aggregates(spark, monkeypatch):
+    from conftest import SF0001
+    from panelcast.operators import panel as P
+    from panelcast.plans.context import PanelContext
+
+    def second_read(*args, **kw):
+        raise AssertionError("fact rows read again for the panel")
+
+    monkeypatch.setattr(P, "daily_sums", second_read)
+    assert "sales" in PanelContext(spark, SF0001).matrix.columns
