@@ -506,3 +506,33 @@ def test_word_ids_do_not_depend_on_the_cache_limit():
     texts = [f"Word{i} common, text {i * 7919} word{i % 3}" for i in range(200)] + ["", " "]
     whole = word_ids(texts, path)
     assert [word_ids([t], path, limit=5)[0] for t in texts] == whole
+
+
+def test_lines_meet_inside_blocks(spark, monkeypatch):
+    """No row per place of a line is shuffled; blocks of a few lines find the links that all pairs give."""
+    import panelcast.llm.line_dedup as L
+    monkeypatch.setattr(L, "BLOCK_CHARS", 400)
+    r = random.Random(11)
+    lines = [" ".join(words(r.randint(5, 30), 700 + i)) for i in range(6)]
+    lines = sorted({mutate(x, r.randint(0, len(x) // 8), r) for x in lines for _ in range(8)} | {"ab" * 40, "ab" * 39 + "a"})
+    occ = L.occurrences(frame(spark, list(enumerate(lines))))
+    histogram: dict[int, int] = {}
+    for x in lines:
+        histogram[len(x)] = histogram.get(len(x), 0) + 1
+    got = L.similar_lines(occ, histogram, 2, 0.1, 20)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Generate" in plan
+    ids = {row["line"]: row["id"] for row in occ.collect()}
+    want = {tuple(sorted((ids[a], ids[b]))) for i, a in enumerate(lines) for b in lines[:i]
+            if min(len(a), len(b)) >= 20 and L.edit_distance(a, b, max(len(a), len(b))) <= L.budget(min(len(a), len(b)), 2, 0.1)}
+    assert {(row["a"], row["b"]) for row in got.collect()} == want and len(want) > 20
+
+
+def test_lines_within_their_budgets():
+    from panelcast.llm.line_dedup import alignment_edits, edit_distance, within
+    r = random.Random(12)
+    pairs = [(x, mutate(x, r.randint(0, 12), r), r.randint(0, 10)) for x in
+             ("".join(r.choice("abé ") for _ in range(r.randint(13, 90))) for _ in range(200))]
+    exact = [edit_distance(a, b, 100) for a, b, _ in pairs]
+    assert within(pairs, cells=500).tolist() == [d <= k for d, (_, _, k) in zip(exact, pairs)]
+    assert all(alignment_edits(a, b, 100) >= d for d, (a, b, _) in zip(exact, pairs))
