@@ -536,3 +536,20 @@ def test_lines_within_their_budgets():
     exact = [edit_distance(a, b, 100) for a, b, _ in pairs]
     assert within(pairs, cells=500).tolist() == [d <= k for d, (_, _, k) in zip(exact, pairs)]
     assert all(alignment_edits(a, b, 100) >= d for d, (a, b, _) in zip(exact, pairs))
+
+
+def test_pairs_are_compared_together():
+    """The table of many pairs gives their edit distances, whatever its width; common ends are left out."""
+    import panelcast.llm.line_dedup as L
+    r = random.Random(23)
+    a = ["".join(r.choice("abé \U0001F600") for _ in range(r.randint(1, 160))) for _ in range(120)]
+    b = [mutate(x, r.randint(0, min(40, len(x) - 1)), r) or "a" for x in a]
+    k = np.array([r.randint(0, 45) for _ in a])
+    one, two = (L.Lines(np.arange(len(x)), np.array([len(y) for y in x]), L.code_points("".join(x))) for x in (a, b))
+    want = np.array([L.edit_distance(x, y, n) <= n for x, y, n in zip(a, b, k.tolist())])
+    assert 20 < want.sum() < 110
+    for words_ in (2, 3, 5):
+        got = L.in_band(one.points, one.start, one.n, two.points, two.start, two.n, k, words_)
+        assert (got & (np.abs(one.n - two.n) <= k) == want).all()
+    which = np.arange(len(a))
+    assert (L.close(one, which, two, which, k) == want).all()
