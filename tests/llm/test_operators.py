@@ -553,3 +553,17 @@ def test_pairs_are_compared_together():
         assert (got & (np.abs(one.n - two.n) <= k) == want).all()
     which = np.arange(len(a))
     assert (L.close(one, which, two, which, k) == want).all()
+
+
+def test_classes_need_no_pairs_of_connected_lines(spark):
+    """A group of near copies is connected by one link a line, and the lines removed stay the same."""
+    import panelcast.llm.line_dedup as L
+    r = random.Random(29)
+    base = " ".join(words(30, 77))
+    lines = sorted({mutate(base, 2, r) for _ in range(60)}, key=len)
+    held = L.Lines(np.arange(len(lines)), np.array([len(x) for x in lines]), L.code_points("".join(lines)))
+    every, some = (np.concatenate(list(L.Filed(held, 2, 0.1, pairs).links(held)), axis=1) for pairs in (True, False))
+    assert every.shape[1] == len(lines) * (len(lines) - 1) // 2 and some.shape[1] == len(lines) - 1
+    docs = frame(spark, [(i, "\n".join(r.sample(lines, 3) + ["another line of its own " + str(i) * 9])) for i in range(12)])
+    rows = [{tuple(x) for x in L.line_classes(docs, 2, 20, 0.1, pairs).drop("n_links").collect()} for pairs in (True, False)]
+    assert rows[0] == rows[1] and any(x[-1] for x in rows[0])
