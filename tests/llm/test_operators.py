@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -538,6 +539,38 @@ def test_lines_within_their_budgets():
     assert all(alignment_edits(a, b, 100) >= d for d, (a, b, _) in zip(exact, pairs))
 
 
+def test_written_tables_leave_no_shuffle_files(spark):
+    """A shared table's shuffle files go when it stands, and spotsigs' tables when they are read no more."""
+    import os
+
+    from pyspark.sql import functions as F
+
+    from panelcast.llm.spotsigs import similar_classes
+    from panelcast.session import SHUFFLE_CLEANUP, ensure_checkpoint_dir, shared_table
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        return {x for x in blocks.getAllBlocks().mkString(" ").split() if x.startswith("shuffle_")}
+
+    before, said = shuffles(), spark.conf.get(SHUFFLE_CLEANUP)
+    table = shared_table(spark.range(1000).repartition(3, "id"), "cleaned")
+    made = set()
+    for _ in range(50):
+        made = {x.split("_")[1] for x in shuffles() - before}
+        if not made:
+            break
+        time.sleep(0.1)
+    assert not made and table.count() == 1000 and spark.conf.get(SHUFFLE_CLEANUP) == said
+    r = random.Random(5)
+    base = [sorted(r.sample(range(10_000), 30)) for _ in range(6)]
+    rows = [(i, sorted({*b[:30 - i % 3], 20_000 + i})) for i, b in enumerate(base * 4)]
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+    sets = spark.createDataFrame(rows, "id long, sigs array<long>").withColumn("id", F.xxhash64("sigs"))
+    held = set(os.listdir(folder))
+    assert similar_classes(sets).select("root").distinct().count() == 6
+    assert not [x for x in set(os.listdir(folder)) - held if x.startswith("spot-")]
+
+
 def test_pairs_are_compared_together():
     """The table of many pairs gives their edit distances, whatever its width; common ends are left out."""
     import panelcast.llm.line_dedup as L
