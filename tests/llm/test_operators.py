@@ -600,3 +600,20 @@ def test_classes_need_no_pairs_of_connected_lines(spark):
     docs = frame(spark, [(i, "\n".join(r.sample(lines, 3) + ["another line of its own " + str(i) * 9])) for i in range(12)])
     rows = [{tuple(x) for x in L.line_classes(docs, 2, 20, 0.1, pairs).drop("n_links").collect()} for pairs in (True, False)]
     assert rows[0] == rows[1] and any(x[-1] for x in rows[0])
+
+
+def test_many_pairs_of_few_sets_are_compared_in_rounds(spark, monkeypatch):
+    """No round sends many more pairs than there are sets, and the rounds together find what all pairs give."""
+    import panelcast.llm.spotsigs as S
+    from pyspark.sql import functions as F
+    r = random.Random(31)
+    base = list(range(40))
+    rows = [(i, sorted({*r.sample(base, r.randint(30, 40)), 100 + i % 3})) for i in range(14)]
+    want = {(a, b) for a, x in rows for b, y in rows if a < b and 10 * len({*x} & {*y}) >= 8 * len({*x, *y})}
+    pairs = S.shared_table(spark.createDataFrame([(a, b) for a, _ in rows for b, _ in rows if a < b], "a long, b long"), "pairs")
+    sent = []
+    keep = S.shared_table
+    monkeypatch.setattr(S, "shared_table", lambda df, label: sent.append(label) or keep(df, label))
+    got = S.compared(pairs, spark.createDataFrame(rows, "id long, sigs array<long>"), 8, 10)
+    assert {tuple(x) for x in got.select("a", "b").collect()} == want and len(want) > 14
+    assert sent.count("spot-links") == -(-91 // 14) + 1 and got.where(F.col("a") >= F.col("b")).isEmpty()
